@@ -5,7 +5,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import xxhash
@@ -116,3 +118,35 @@ def components(scratch: Scratch, edges: DataFrame, name: str, max_rounds: int =
     else:
         raise RuntimeError("components did not converge")
     return now.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("root"))
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once a context; they may lack it on their path."""
+    sc = spark.sparkContext
+    if getattr(sc, "_eventlake_sent", False):
+        return
+    root = Path(__file__).resolve().parents[1]
+    at = Path(tempfile.mkdtemp(prefix="eventlake-")) / "eventlake.zip"
+    with zipfile.ZipFile(at, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    sc.addPyFile(str(at))
+    sc._eventlake_sent = True
+
+
+def small_batches(spark: SparkSession, rows: int = 512) -> None:
+    """Before Python work: bound what a worker holds at a time to so many rows a batch (texts may be very long), and ``ship``."""
+    ship(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def by_bytes(texts: list[str], most: int = 1 << 20) -> Iterator[list[str]]:
+    """Slices of ``texts`` with about ``most`` characters each."""
+    start = total = 0
+    for k, text in enumerate(texts):
+        total += len(text)
+        if total >= most:
+            yield texts[start : k + 1]
+            start, total = k + 1, 0
+    if start < len(texts):
+        yield texts[start:]
