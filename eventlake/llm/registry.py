@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, sentence_pieces, sharding, token_counts
+from . import exact_dedup, repeats, sentence_pieces, sharding, token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op5_sentencepiece": sentence_pieces.query,
+        "op6_repeated_substrings": repeats.query,
         "op8_token_counts": token_counts.query,
         "op9_exact_dedup": exact_dedup.query,
         "op10_sharding": sharding.query,
