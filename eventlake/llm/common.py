@@ -101,7 +101,7 @@ def components(scratch: Scratch, edges: DataFrame, name: str, max_rounds: int =
     before, k = None, 0
     while k < max_rounds:
         both = now.union(now.select("b", "a"))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         # large star: every greater neighbour is linked to the least of the neighbourhood
         big = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         big = big.distinct()

@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, repeats, sentence_pieces, sharding, token_counts
+from . import exact_dedup, near_dedup, repeats, sentence_pieces, sharding, token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op4_ngram_jaccard_join": near_dedup.query,
         "op5_sentencepiece": sentence_pieces.query,
         "op6_repeated_substrings": repeats.query,
         "op8_token_counts": token_counts.query,

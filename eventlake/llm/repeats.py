@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import BASE, Scratch, mixed, small_batches
-from .sharding import numbered
+from .sharding import keyed
 
 LENGTH, DIGIT = 100, 32
 SPAN = LENGTH - DIGIT + 1  # places of an anchor in a window
@@ -250,14 +250,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "repeats")
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    if docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").limit(1).count():
-        crc = F.crc32(F.coalesce("text", F.lit("")))
-        docs = numbered(docs.withColumn("_crc", crc), scratch, ["doc_id", "_crc"])[0].select("doc_id", F.col("row_number").alias("key"), "text")
-    else:
-        docs = docs.select("doc_id", F.col("doc_id").alias("key"), "text")
     small_batches(spark)
-    texts = docs.select("key", "text", "doc_id")
+    texts = keyed(docs, scratch)
     rows = texts.select("key", "text").mapInPandas(emit_runs, DOC_SCHEMA)
     rows = rows.repartition("h").sortWithinPartitions("h", "run", "key", "start")
     refined = scratch.keep(rows.mapInPandas(refine_runs, COVER_SCHEMA), "refined")
