@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, near_dedup, repeats, sentence_pieces, sharding, token_counts
+from . import exact_dedup, near_dedup, quality, repeats, sentence_pieces, sharding, token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_ngram_jaccard_join": near_dedup.query,
         "op5_sentencepiece": sentence_pieces.query,
         "op6_repeated_substrings": repeats.query,
+        "op7_quality_classifier": quality.query,
         "op8_token_counts": token_counts.query,
         "op9_exact_dedup": exact_dedup.query,
         "op10_sharding": sharding.query,
