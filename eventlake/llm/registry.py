@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, near_dedup, quality, repeats, sentence_pieces, sharding, token_counts, toxicity
+from . import decontaminate, exact_dedup, near_dedup, quality, repeats, sentence_pieces, sharding, token_counts, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_toxicity": toxicity.query,
+        "op3_benchmark_decontamination": decontaminate.query,
         "op4_ngram_jaccard_join": near_dedup.query,
         "op5_sentencepiece": sentence_pieces.query,
         "op6_repeated_substrings": repeats.query,
