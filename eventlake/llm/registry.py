@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, near_dedup, quality, repeats, sentence_pieces, sharding, token_counts, toxicity
+from . import decontaminate, exact_dedup, html_extract, near_dedup, quality, repeats, sentence_pieces, sharding, token_counts, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_html_extraction": html_extract.query,
         "op2_toxicity": toxicity.query,
         "op3_benchmark_decontamination": decontaminate.query,
         "op4_ngram_jaccard_join": near_dedup.query,
