@@ -134,10 +134,10 @@ def ship(spark: SparkSession) -> None:
     sc._eventlake_sent = True
 
 
-def small_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Before Python work: bound what a worker holds at a time to so many rows a batch (texts may be very long), and ``ship``."""
+def small_batches(spark: SparkSession, size: int = 4 << 20) -> None:
+    """Before Python work: bound what a worker holds at a time to about so many bytes a batch (texts may be very long), and ``ship``."""
     ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
 def by_bytes(texts: list[str], most: int = 1 << 20) -> Iterator[list[str]]:
