@@ -28,6 +28,22 @@ def named(keys: DataFrame, scratch: Scratch, table: str) -> DataFrame:
     return scratch.keep(keys.distinct().sortWithinPartitions(*cols).withColumn("name", F.monotonically_increasing_id()), table)
 
 
+def digest(block: str) -> Column:
+    return F.unhex(F.sha2(block, 256)).alias("digest")
+
+
+def block_names(blocks: DataFrame, scratch: Scratch) -> DataFrame:
+    """(digest, name) of the distinct blocks: names follow the sorted contents, digests serve to look them up.
+
+    That no two contents share a digest is checked over all of them, so a look-up is as good as by content.
+    """
+    names = blocks.distinct().sortWithinPartitions("block").select(digest("block"), F.monotonically_increasing_id().alias("name"))
+    names = scratch.keep(names, "blocks")
+    if names.groupBy("digest").count().where("count > 1").limit(1).count():
+        raise RuntimeError("two blocks share a digest")
+    return names
+
+
 def identities(docs: DataFrame, scratch: Scratch, block: int = BLOCK) -> DataFrame:
     """row, doc_id, n_points, text_sha256, level, name for every row of ``docs`` (doc_id, text)."""
     norm = docs.select(
@@ -37,10 +53,10 @@ def identities(docs: DataFrame, scratch: Scratch, block: int = BLOCK) -> DataFra
     count = F.greatest(F.lit(1), F.ceil(F.char_length("norm") / block)).cast("int")
     cut = F.transform(F.sequence(F.lit(0), count - 1), lambda k: F.substring(F.col("norm"), k * block + 1, F.lit(block)))
     blocks = norm.select("*", count.alias("n"), F.posexplode(cut).alias("pos", "block"))
-    names = named(blocks.select("block"), scratch, "blocks")
+    names = block_names(blocks.select("block"), scratch)
     first = F.col("pos") == 0  # what belongs to the document travels with its first block only
     facts = [F.when(first, F.col(c)).alias(c) for c in ("doc_id", "n_points")] + [F.when(first, F.sha2(F.col("norm"), 256)).alias("text_sha256")]
-    level0 = scratch.keep(blocks.select("row", "n", "pos", "block", *facts).join(names, "block").drop("block"), "level0")
+    level0 = scratch.keep(blocks.select("row", "n", "pos", digest("block"), *facts).join(names, "digest").drop("digest"), "level0")
     most = level0.agg(F.max("n")).first()[0] or 1
     now, done, level = level0.select("row", "n", "pos", "name"), [], 0
     while True:
@@ -83,9 +99,15 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the rows that stay."""
-    kept = exact_duplicates(docs).where("kept").select("doc_id")
-    cols = docs.columns
-    return docs.dropDuplicates(["doc_id"]).join(kept.distinct(), "doc_id", "left_semi").select(cols)
+    kept = exact_duplicates(docs).where("kept").select("doc_id", "text_sha256").distinct()
+    text = F.coalesce(docs["text"], F.lit(""))
+    same = docs["doc_id"].eqNullSafe(kept["doc_id"]) & (F.sha2(normalised(text), 256) == kept["text_sha256"])
+    out = docs.join(kept, same, "left_semi").select(docs.columns)
+    if docs.groupBy("doc_id").count().where("count > 1").limit(1).count():  # repeated rows: one of each
+        out = out.withColumn("_n", -F.char_length(F.coalesce("text", F.lit(""))))
+        best = F.min_by(F.struct(*docs.columns), "_n").alias("r")
+        out = out.groupBy("doc_id", normalised(F.col("text")).alias("_t")).agg(best).select("r.*")
+    return out
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
