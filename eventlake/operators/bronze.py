@@ -21,7 +21,7 @@ def build_envelope(raw: str | Column, received_at: Column, source: str = SOURCE)
     event = F.from_json(raw, RAW_EVENT)
     head = F.to_json(F.struct(
         F.lit(SCHEMA_VERSION).alias("schema_version"), F.lit(source).alias("source"), event["kind"].alias("event_kind"), received_at.alias("received_at"),
-        event["commit.collection"].alias("collection"), event["commit.operation"].alias("operation"), event["did"].alias("repository_did"), event["time_us"].alias("jetstream_time_us"),
+        event["commit"]["collection"].alias("collection"), event["commit"]["operation"].alias("operation"), event["did"].alias("repository_did"), event["time_us"].alias("jetstream_time_us"),
     ), {"ignoreNullFields": "false"})
     return F.concat(F.substring(head, 1, F.length(head) - 1), F.lit(',"payload":'), raw, F.lit("}"))
 

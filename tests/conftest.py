@@ -1,8 +1,10 @@
 import os
 
+import sys
 import pytest
 
 os.environ.setdefault("TZ", "UTC")
+sys.path.insert(0, os.path.dirname(__file__))
 
 
 @pytest.fixture(scope="session")

@@ -1,0 +1,104 @@
+"""Versioned tables, checks, serving, clean-up."""
+
+from datetime import UTC, datetime, timedelta
+
+import pytest
+from helpers import rows
+
+from eventlake import lifecycle
+from eventlake.operators import checks
+from eventlake.plans.state import BEGINNING, StateStore, lookback_of, refresh_window
+from eventlake.tables import Catalog, TableError
+
+
+@pytest.fixture
+def lake(spark, tmp_path):
+    return Catalog(spark, f"file://{tmp_path}/lake")
+
+
+def frame(spark, *pairs):
+    return spark.createDataFrame(list(pairs), "k string, v string")
+
+
+def test_merge_truth_table_and_snapshots(spark, lake):
+    t = lake.table("t")
+    with pytest.raises(TableError):
+        t.read()
+    t.overwrite(frame(spark, ("a", "old-a"), ("b", "old-b")))
+    before = t.read()
+    t.merge(frame(spark, ("a", "new-a"), ("c", "new-c")), ["k"])
+    assert rows(t.read()) == [("a", "new-a"), ("b", "old-b"), ("c", "new-c")]
+    assert rows(before) == rows(t.read(1)) == [("a", "old-a"), ("b", "old-b")]
+    t.overwrite(t.read().where("k <> 'b'"))  # a table may be rewritten from itself
+    assert rows(t.read(), "k") == [("a",), ("c",)]
+    assert [h["operation"] for h in t.history()] == ["overwrite", "replace", "overwrite"]
+
+
+def test_appends_are_tagged_and_parts_expire(spark, lake):
+    t = lake.table("t", ["k"])
+    t.create(frame(spark).schema)
+    assert t.read().count() == 0 and t.create(frame(spark).schema) == 1
+    for _ in range(2):
+        t.append(frame(spark, ("a", "1")), tag="batch:1")
+    t.append(frame(spark, ("a", "2")), tag="batch:2")
+    assert rows(t.read()) == [("a", "1"), ("a", "2")]
+    t.compact()
+    assert len(t.manifest()["parts"]) == 1 and len(t.expire(1)) == 2
+    assert rows(t.read()) == [("a", "1"), ("a", "2")] and lake.list() == ["t"]
+    lake.views()
+    assert spark.sql("SELECT count(*) AS n FROM t").first().n == 2 and rows(lake.counts()) == [("t", 2)]
+
+
+def test_replace_drops_keys_without_rows_and_handles_null_keys(spark, lake):
+    t = lake.table("t")
+    t.overwrite(frame(spark, ("a", "1"), (None, "2"), ("b", "3")))
+    t.replace(frame(spark, ("a", ""), (None, "")), frame(spark, (None, "new")), ["k"])
+    assert rows(t.read()) == sorted([("b", "3"), (None, "new")], key=str)
+
+
+def test_key_checks_and_reconciliation(spark):
+    good, bad = frame(spark, ("a", "1"), ("b", "2")), frame(spark, ("a", "1"), ("a", "2"), (None, "3"))
+    checks.require_keys(good, ["k"], "good")
+    assert tuple(checks.key_check(bad, ["k"], "bad").first()) == ("bad", 3, 2, 1, False)
+    with pytest.raises(checks.CheckFailed):
+        checks.require_keys(bad, ["k"], "bad")
+    x = spark.createDataFrame([("a", 1), ("b", 3)], "k string, n long")
+    y = spark.createDataFrame([("a", 2), ("b", 2)], "k string, n long")
+    report = checks.reconcile(x, y, ["n"])
+    assert rows(report) == [("n", 4, 4, True), ("row_count", 2, 2, True)]  # sums cancel
+    assert checks.differences(x, y).count() == 4  # rows don't
+    scoped = checks.reconcile(x, y, ["n"], x.where("k = 'a'"), ["k"])
+    with pytest.raises(checks.CheckFailed, match="n 1 != 2"):
+        checks.require_reconciled(scoped, "m")
+    with pytest.raises(checks.CheckFailed):
+        checks.check_contract(x, ["n", "k"], "x")
+    assert rows(checks.readiness({"x": x, "none": x.limit(0)})) == [("none", 0, False), ("x", 2, True)]
+
+
+def test_windows_and_state(tmp_path):
+    now = datetime(2024, 1, 2, tzinfo=UTC)
+    w = refresh_window(now - timedelta(hours=1), now)
+    assert w.bounds() == (datetime(2024, 1, 1, 21), datetime(2024, 1, 2)) and not w.bootstrap
+    assert refresh_window(None, now).bounds() == (None, datetime(2024, 1, 2)) and refresh_window(None, now).start == BEGINNING
+    for last, at, back in ((None, datetime(2024, 1, 1), timedelta(0)), (now, now - timedelta(days=9), timedelta(0)), (None, now, timedelta(-1)), (datetime(2024, 1, 1), now, timedelta(0))):
+        with pytest.raises(ValueError):
+            refresh_window(last, at, back)
+    assert lookback_of({"EVENTLAKE_LOOKBACK_MINUTES": "5", "EVENTLAKE_LOOKBACK_HOURS": "9"}) == timedelta(minutes=5)
+    assert lookback_of({"EVENTLAKE_LOOKBACK_HOURS": "3"}) == timedelta(hours=3) and lookback_of({}) == timedelta(hours=2)
+    s = StateStore(tmp_path / "state")
+    assert s.read("facts") is None
+    s.write("facts", now)
+    assert s.read("facts") == now and s.clear() == ["facts"]
+    with pytest.raises(ValueError):
+        s.write("facts", datetime(2024, 1, 1))
+
+
+def test_cleanup_needs_confirmation(spark, lake, tmp_path):
+    lake.table("t").overwrite(frame(spark, ("a", "1")))
+    states = StateStore(tmp_path / "state")
+    states.write("facts", datetime.now(UTC))
+    (tmp_path / "bronze").mkdir()
+    job = lifecycle.Cleanup(lake, states, [f"file://{tmp_path}/bronze", f"file://{tmp_path}/never"])
+    assert len(job.run()) == 4 and lake.list() == ["t"]
+    job.run(confirm=True)
+    assert lake.list() == [] and states.read("facts") is None and not (tmp_path / "bronze").exists()
