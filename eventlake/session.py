@@ -19,7 +19,7 @@ DEFAULTS = {
 
 
 def session(app: str = "eventlake", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the defaults; ``conf`` (with _ for .) and ``EVENTLAKE_MASTER`` override."""
+    """A session with the defaults; settings in ``conf`` and ``EVENTLAKE_MASTER`` override."""
     builder = SparkSession.builder.appName(app)
     master = master or os.environ.get("EVENTLAKE_MASTER")
     if master:
@@ -27,7 +27,7 @@ def session(app: str = "eventlake", master: str | None = None, **conf: str) -> S
     for key, value in DEFAULTS.items():
         builder = builder.config(key, value)
     for key, value in conf.items():
-        builder = builder.config(key.replace("_", "."), value)
+        builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
