@@ -2,36 +2,30 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import re
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventlake.session import shared_dir
+
 WORD = re.compile(r"\w+")
 #: Odd multipliers of the polynomial hashes and of the finalising mix.
 BASE = np.uint64(0x9E3779B97F4A7C15)
 MIX_A, MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only in local mode without the setting."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    folder = "file://" + tempfile.mkdtemp(prefix="eventlake-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
 class Scratch:
     """Intermediate tables of one call, written to the shared folder so that lineage is cut durably."""
 
@@ -134,12 +128,27 @@ def ship(spark: SparkSession) -> None:
     sc._eventlake_sent = True
 
 
-def small_batches(spark: SparkSession, size: int = 4 << 20) -> None:
+def small_batches(spark: SparkSession, size: int = 2 << 20) -> None:
     """Before Python work: bound what a worker holds at a time to about so many bytes a batch (texts may be very long), and ``ship``."""
     ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run``, after which the worker gives free memory back: workers outlive their tasks and stand beside the executor's heap."""
+
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
+
+
 def by_bytes(texts: list[str], most: int = 1 << 20) -> Iterator[list[str]]:
     """Slices of ``texts`` with about ``most`` characters each."""
     start = total = 0

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import small_batches, tidy
 from .sample_pages import Page
 
 #: Elements whose text is never part of a page's blocks; the parser skips to their end tag.
@@ -258,7 +258,7 @@ def extract(pages: DataFrame, model: Field | None = None) -> DataFrame:
             yield out.assign(page_id=batch["page_id"].astype("Int64"), url=batch["url"], n_chars=[len(x[0]) for x in found])[["page_id", "url", "text", "n_chars", "n_blocks", "n_kept"]]
 
     read = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    return read.mapInPandas(run, "page_id long, url string, text string, n_chars long, n_blocks long, n_kept long")
+    return read.mapInPandas(tidy(run), "page_id long, url string, text string, n_chars long, n_blocks long, n_kept long")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, WordHashes, components, mixed, runs, shingles, small_batches
+from .common import Scratch, WordHashes, components, mixed, runs, shingles, small_batches, tidy
 from .repeats import grouped
 from .sharding import keyed
 
@@ -217,7 +217,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, threshold: float = THRE
     texts = keyed(docs, scratch)
     small_batches(spark)
     depth = prefix_depth(threshold, recall)
-    signed = scratch.keep(texts.select("key", "text").mapInPandas(signer(words, depth), SIGN_SCHEMA), "signed")
+    signed = scratch.keep(texts.select("key", "text").mapInPandas(tidy(signer(words, depth)), SIGN_SCHEMA), "signed")
     sets = signed.where("buckets IS NOT NULL").groupBy("d1", "d2").agg(F.min("key").alias("rep"), F.count("*").alias("copies"))
     members = signed.where("buckets IS NOT NULL").select("key", "d1", "d2").join(sets, ["d1", "d2"]).select("key", "rep", "copies")
     members = scratch.keep(members, "members")
@@ -229,7 +229,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, threshold: float = THRE
     spots = places.join(full, "bucket").join(classes.select("key", "sketch"), "key")
     hashes = TREES * depth
     cut = hashes * (threshold - 4 * (threshold * (1 - threshold) / hashes) ** 0.5)
-    near = spread(spots, "bucket", "key", "size").mapInPandas(sketch_edges(cut), "a long, b long")
+    near = spread(spots, "bucket", "key", "size").mapInPandas(tidy(sketch_edges(cut)), "a long, b long")
     clusters = scratch.keep(components(scratch, near, "near"), "clusters")
     scratch.drop("classes")
     clusters = clusters.union(clusters.select("root", "root").distinct())
@@ -237,8 +237,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, threshold: float = THRE
 
     chosen = clusters.join(members.where("key = rep").select(F.col("key").alias("id"), "copies"), "id")
     sets = texts.select("key", "text").join(chosen.withColumnRenamed("id", "key"), "key").select("key", "root", "size", "copies", "text")
-    grams = sets.mapInPandas(gram_sets(words), "key long, root long, size long, copies long, grams binary")
-    links = scratch.keep(spread(grams, "root", "key", "size").mapInPandas(exact_links(threshold), "a long, b long, links long"), "links")
+    grams = sets.mapInPandas(tidy(gram_sets(words)), "key long, root long, size long, copies long, grams binary")
+    links = scratch.keep(spread(grams, "root", "key", "size").mapInPandas(tidy(exact_links(threshold)), "a long, b long, links long"), "links")
     linked = components(scratch, links.where("b IS NOT NULL").select("a", "b"), "link")
     count = links.where("links IS NOT NULL").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     named = members.join(linked.withColumnRenamed("id", "rep"), "rep", "left").join(count, "rep", "left").select(

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordHashes, mixed, small_batches
+from .common import WordHashes, mixed, small_batches, tidy
 
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 #: Words are hashed to so many rows of so many dimensions; an index vector has SPARSE entries of +-1; contexts reach REACH words to each side.
@@ -74,9 +74,9 @@ def add_slabs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def word_vectors(docs: DataFrame) -> np.ndarray:
     """WORDS x DIMS vectors from the contexts in all of ``docs``; what reaches the driver is this table, of fixed size."""
-    parts = docs.select("text").mapInPandas(add_contexts, "slab int, sums binary").repartition(WORDS // SLAB, "slab")
+    parts = docs.select("text").mapInPandas(tidy(add_contexts), "slab int, sums binary").repartition(WORDS // SLAB, "slab")
     table = np.zeros((WORDS, DIMS + 1))
-    for row in parts.mapInPandas(add_slabs, "slab int, sums binary").collect():
+    for row in parts.mapInPandas(tidy(add_slabs), "slab int, sums binary").collect():
         table[row.slab * SLAB : (row.slab + 1) * SLAB] = np.frombuffer(row.sums, "<f8").reshape(SLAB, DIMS + 1)
     vectors, counts = table[:, :DIMS], table[:, DIMS]
     vectors = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
@@ -172,7 +172,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
             yield pd.DataFrame({"doc_id": batch["doc_id"], "quality": batch["quality"], "x": [row.tobytes() for row in x]})
 
     # the sample's ids have a bound, and so has what comes back: under 200 bytes a row
-    sample = docs.select("doc_id", "text").join(F.broadcast(marked), "doc_id").mapInPandas(run, "doc_id long, quality double, x binary").toPandas()
+    sample = docs.select("doc_id", "text").join(F.broadcast(marked), "doc_id").mapInPandas(tidy(run), "doc_id long, quality double, x binary").toPandas()
     sample["x"] = sample["x"].map(bytes)
     sample = sample.sort_values(["doc_id", "x"])
     if not len(sample):
@@ -195,7 +195,7 @@ def scored(docs: DataFrame, model: Model, keep: list[str], column: str = "score"
             yield batch[[f.name for f in fields]].assign(**{column: score})
 
     out = type(docs.schema)([*fields]).add(column, "double")
-    return docs.select(*{*keep, "text"}).mapInPandas(run, out)
+    return docs.select(*{*keep, "text"}).mapInPandas(tidy(run), out)
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

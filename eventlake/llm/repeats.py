@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BASE, Scratch, mixed, small_batches
+from .common import BASE, Scratch, mixed, small_batches, tidy
 from .sharding import keyed
 
 LENGTH, DIGIT = 100, 32
@@ -252,16 +252,16 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     scratch = Scratch(spark, "repeats")
     small_batches(spark)
     texts = keyed(docs, scratch)
-    rows = texts.select("key", "text").mapInPandas(emit_runs, DOC_SCHEMA)
+    rows = texts.select("key", "text").mapInPandas(tidy(emit_runs), DOC_SCHEMA)
     rows = rows.repartition("h").sortWithinPartitions("h", "run", "key", "start")
-    refined = scratch.keep(rows.mapInPandas(refine_runs, COVER_SCHEMA), "refined")
+    refined = scratch.keep(rows.mapInPandas(tidy(refine_runs), COVER_SCHEMA), "refined")
     wanted = refined.where("place >= 0").groupBy("key").agg(F.collect_list(F.struct("h", "start", "n", "place")).alias("runs"))
-    contexts = texts.join(wanted, "key").select("key", "text", "runs").mapInPandas(cut_contexts, "h long, key long, start long, place int, bytes binary")
-    windows = contexts.repartition("h").sortWithinPartitions("h").mapInPandas(refine_windows, "key long, start long, n int")
+    contexts = texts.join(wanted, "key").select("key", "text", "runs").mapInPandas(tidy(cut_contexts), "h long, key long, start long, place int, bytes binary")
+    windows = contexts.repartition("h").sortWithinPartitions("h").mapInPandas(tidy(refine_windows), "key long, start long, n int")
     covered = refined.where("place < 0").select("key", "start", "n").union(windows)
     spans = covered.groupBy("key").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
     out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start: long, end: long>>"
-    return texts.join(spans, "key", "left").select("doc_id", "text", "spans").mapInPandas(apply_spans, out)
+    return texts.join(spans, "key", "left").select("doc_id", "text", "spans").mapInPandas(tidy(apply_spans), out)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,9 @@ import tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_bytes, shared_dir, small_batches
+from eventlake.session import shared_dir
+
+from .common import by_bytes, small_batches, tidy
 
 MODEL = "piece_bpe_32k.model"
 LIMIT = 4096
@@ -62,7 +64,7 @@ def encode_misses(misses: DataFrame, path: str) -> DataFrame:
             counts = [n for part in by_bytes(list(batch["text"])) for n in count(part)]
             yield pd.DataFrame({"digest": batch["digest"], "n_tokens": counts})
 
-    return misses.mapInPandas(run, "digest binary, n_tokens long")
+    return misses.mapInPandas(tidy(run), "digest binary, n_tokens long")
 
 
 def count_tokens(docs: DataFrame, cache: str, model_path: str | None = None, limit: int = LIMIT) -> DataFrame:

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD, small_batches
+from .common import WORD, small_batches, tidy
 from .quality import held_out, sigmoid
 
 #: Common English insults, which split labelled toxic texts into ``insult`` and ``coded`` (abuse in other words).
@@ -136,7 +136,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
     bad, good = n.get(True, 0), n.get(False, 0)
     if not bad or not good:
         return Chain([], [(np.zeros(k), -20.0 if not bad else 20.0) for k in range(len(CATEGORIES))])
-    counts = sample.mapInPandas(count_traits, "trait string, bad long, good long").groupBy("trait").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).where(F.col("bad") >= LEAST_DOCS)
+    counts = sample.mapInPandas(tidy(count_traits), "trait string, bad long, good long").groupBy("trait").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).where(F.col("bad") >= LEAST_DOCS)
     odds = F.log((F.col("bad") + 0.5) / (bad - F.col("bad") + 0.5)) - F.log((F.col("good") + 0.5) / (good - F.col("good") + 0.5))
     z = odds / F.sqrt(1 / (F.col("bad") + 0.5) + 1 / (F.col("good") + 0.5))
     chosen = counts.where(F.expr(f"bad <= {bad} AND good <= {good}")).select("trait", z.alias("z")).where(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "trait").limit(MAX_FEATURES).collect()
@@ -148,7 +148,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
             seed = [not INSULTS.isdisjoint(WORD.findall((t or "").lower())) for t in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "toxic": batch["toxic"].astype(int), "seed": seed, "found": [np.flatnonzero(r).tolist() for r in x]})
 
-    rows = sample.mapInPandas(run, "doc_id long, toxic int, seed boolean, found array<int>").toPandas().sort_values("doc_id")
+    rows = sample.mapInPandas(tidy(run), "doc_id long, toxic int, seed boolean, found array<int>").toPandas().sort_values("doc_id")
     x = np.zeros((len(rows), len(chosen)), np.float32)
     for k, found in enumerate(rows["found"]):
         x[k, np.asarray(found, int)] = 1
@@ -175,7 +175,7 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
             p = shared.value.predict(shared.value.presence(list(batch["text"])))
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), **{f"p_{c}": p[:, k] for k, c in enumerate(CATEGORIES)}})
 
-    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, "doc_id long, p_insult double, p_coded double, p_toxic double")
+    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(tidy(run), "doc_id long, p_insult double, p_coded double, p_toxic double")
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "p_insult", "p_coded", "p_toxic", (F.col("p_toxic") >= threshold).alias("toxic"))
 
 
