@@ -255,7 +255,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, threshold: float = THRE
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: one document of each class stays."""
     kept = near_duplicates(docs).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi").select(docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -183,19 +184,19 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
 
 
 def scored(docs: DataFrame, model: Model, keep: list[str], column: str = "score") -> DataFrame:
-    """Columns ``keep`` of ``docs`` and the score of each text."""
+    """Columns ``keep`` of ``docs``, as they are, and the score of each text."""
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    fields = [f for f in docs.schema.fields if f.name in keep]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, model = WordHashes(), shared.value
         for batch in batches:
-            score = model.scores(features(list(batch["text"]), model.vectors, hashes))
-            yield batch[[f.name for f in fields]].assign(**{column: score})
+            score = model.scores(features(batch.column("text").to_pylist(), model.vectors, hashes))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(score, pa.float64())], [*keep, column])
 
-    out = type(docs.schema)([*fields]).add(column, "double")
-    return docs.select(*{*keep, "text"}).mapInPandas(tidy(run), out)
+    fields = {f.name: f for f in docs.schema.fields}
+    out = type(docs.schema)([fields[c] for c in keep]).add(column, "double")
+    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(tidy(run), out)
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -213,7 +214,9 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that the classifier rejects go."""
     model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    score = "_quality_score"
+    score = "_score"
+    while score in docs.columns:
+        score = "_" + score
     return scored(docs, model, docs.columns, score).where(F.col(score) >= THRESHOLD).drop(score).select(docs.columns)
 
 
