@@ -11,7 +11,10 @@ Suffixes are refined by digits of growing depth, and whatever is alone after a p
 3. *Remaining digits.*  The windows of what is left are radix sorted in 8-byte digits to
    depth ``LENGTH``; in each group that is left every window but the first is covered.
 
-Hashes only choose what to compare in passes 1 and 3; runs are taken as equal in pass 2 when 128 bits of hash,
+A group of over ``GROUP`` rows with one anchor, such as the edges of a passage that very many texts share, is dealt to
+several tasks, and the windows that are first in their task meet once more by 128 bits of hash, pre-aggregated.
+
+Hashes otherwise only choose what to compare in passes 1 and 3; runs are taken as equal in pass 2 when 128 bits of hash,
 their length and anchor place agree.
 """
 
@@ -31,12 +34,15 @@ from .sharding import keyed
 LENGTH, DIGIT = 100, 32
 SPAN = LENGTH - DIGIT + 1  # places of an anchor in a window
 HALF = (LENGTH - DIGIT) // 2
+#: Rows of one anchor that a task of pass 3 sorts together; pass 2 holds ten times as many (slim) rows.
+GROUP = 20_000
 #: Bytes sorted at a time; a place in them has to fit PLACE bits.
 CHUNK, PLACE = 2 << 20, 23
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * BASE)
 DOC_SCHEMA = "h long, run long, context long, key long, start long, n int, place int, done boolean"
 COVER_SCHEMA = "key long, start long, n int, h long, place int"
+WINDOW_SCHEMA = "key long, start long, n int, w1 long, w2 long"
 
 
 class Powers:
@@ -126,26 +132,37 @@ def emit_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield rows
 
 
-def grouped(batches: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
-    """Whole groups of a stream sorted by ``key``, many at a time."""
+def grouped(batches: Iterator[pd.DataFrame], key: str, most: int = 1 << 62) -> Iterator[pd.DataFrame]:
+    """Whole groups of a stream sorted by ``key``, many at a time.
+
+    A group of over ``most`` rows comes in pieces, all but the last marked by ``attrs["open"]``, the key.
+    """
     rest: list[pd.DataFrame] = []
+    held = 0
+
+    def joined(parts: list[pd.DataFrame], is_open: bool = False) -> pd.DataFrame:
+        out = pd.concat(parts, ignore_index=True)
+        out.attrs["open"] = out[key].iloc[-1] if is_open else None
+        return out
+
     for batch in batches:
         if not len(batch):
             continue
         values = batch[key].to_numpy()
         cut = int(np.flatnonzero(values != values[-1])[-1]) + 1 if values[0] != values[-1] else 0
-        if rest and (cut or rest[-1][key].iloc[-1] != values[0]):
-            if cut:
-                yield pd.concat([*rest, batch.iloc[:cut]], ignore_index=True)
-                rest = []
-            else:
-                yield pd.concat(rest, ignore_index=True)
-                rest = []
-        elif cut:
-            yield batch.iloc[:cut].reset_index(drop=True)
+        if cut:
+            yield joined([*rest, batch.iloc[:cut]])
+            rest, held = [], 0
+        elif rest and rest[-1][key].iloc[-1] != values[0]:
+            yield joined(rest)
+            rest, held = [], 0
         rest.append(batch.iloc[cut:])
+        held += len(rest[-1])
+        if held > most:
+            yield joined(rest, True)
+            rest, held = [], 0
     if rest:
-        yield pd.concat(rest, ignore_index=True)
+        yield joined(rest)
 
 
 def shared(h: np.ndarray, digit: np.ndarray) -> np.ndarray:
@@ -156,17 +173,25 @@ def shared(h: np.ndarray, digit: np.ndarray) -> np.ndarray:
 
 def refine_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Pass 2 on rows sorted by h, run, key, start: covered runs (place -1) and first runs to look into."""
-    for rows in grouped(batches, "h"):
+    last = opened = None  # (h, run) of the row before, and the anchor of a group that goes on
+    for rows in grouped(batches, "h", 10 * GROUP):
         done, h, run = rows["done"].to_numpy(), rows["h"].to_numpy(), rows["run"].to_numpy()
-        same = np.concatenate([[False], (h[1:] == h[:-1]) & (run[1:] == run[:-1]) & ~done[1:] & ~done[:-1]])
+        before_h, before_run = np.append(h[:1], h[:-1]), np.append(run[:1], run[:-1])
+        same = (h == before_h) & (run == before_run) & ~done & ~np.append(done[:1], done[:-1])
+        same[0] = not done[0] and last == (h[0], run[0])
+        last = None if done[-1] else (h[-1], run[-1])
         covered = rows.loc[same | done, ["key", "start", "n"]].assign(h=0, place=-1)
         reps = rows.loc[~(same | done)]
         h = reps["h"].to_numpy()
+        # what is in pieces isn't known to be alone
+        whole = ~np.isin(h, [x for x in (opened, rows.attrs["open"]) if x is not None])
         again = np.concatenate([[False], h[1:] == h[:-1]]) if len(h) else np.zeros(0, bool)
-        reps = reps.loc[again | np.append(again[1:], False)]
+        reps = reps.loc[again | np.append(again[1:], False) | ~whole] if len(h) else reps
         if len(reps):
             h, context = reps["h"].to_numpy(), reps["context"].to_numpy()
-            reps = reps.loc[shared(h, context >> 16) | shared(h, (context & 0xFFFF) + (1 << 32))]
+            whole = ~np.isin(h, [x for x in (opened, rows.attrs["open"]) if x is not None])
+            reps = reps.loc[shared(h, context >> 16) | shared(h, (context & 0xFFFF) + (1 << 32)) | ~whole]
+        opened = rows.attrs["open"]
         yield pd.concat([covered, reps[["key", "start", "n", "h", "place"]]], ignore_index=True).astype({"n": "int32", "place": "int32"})
 
 
@@ -176,12 +201,23 @@ def cut_contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out = []
         for key, text, wanted in zip(batch["key"], batch["text"], batch["runs"], strict=True):
             data = (text or "").encode()
-            out += [(x["h"], key, x["start"], x["place"], data[x["start"] : x["start"] + x["n"] + LENGTH - 1]) for x in wanted]
-        yield pd.DataFrame(out, columns=["h", "key", "start", "place", "bytes"]).astype({"h": "int64", "key": "int64", "start": "int64", "place": "int32"})
+            out += [(x["g"], x["parts"], x["h"], key, x["start"], x["place"], data[x["start"] : x["start"] + x["n"] + LENGTH - 1]) for x in wanted]
+        yield pd.DataFrame(out, columns=["g", "parts", "h", "key", "start", "place", "bytes"]).astype({"g": "int64", "parts": "int32", "h": "int64", "key": "int64", "start": "int64", "place": "int32"})
+
+
+def window_hashes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit hashes of the windows at the given places."""
+    up, down = POWERS.to(len(data) + 1)
+    out = []
+    for table in (BYTES, mixed(BYTES)):
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(table[data] * up[: len(data)], out=sums[1:])
+        out.append(mixed((sums[at + LENGTH] - sums[at]) * down[at]).view(np.int64))
+    return out[0], out[1]
 
 
-def sort_windows(h: np.ndarray, key: np.ndarray, start: np.ndarray, place: np.ndarray, texts: list[bytes]) -> pd.DataFrame:
-    """Pass 3: windows of the given runs that also start earlier, as runs (key, start, n)."""
+def sort_windows(h: np.ndarray, key: np.ndarray, start: np.ndarray, place: np.ndarray, parts: np.ndarray, texts: list[bytes]) -> pd.DataFrame:
+    """Pass 3: windows of the given runs that also start earlier, as runs (key, start, n); and those that don't, one by one with their hashes, of groups dealt to several tasks."""
     data = np.frombuffer(b"".join(texts) + b"\0" * 8, np.uint8)
     sizes = np.array([len(t) for t in texts])
     n = sizes - LENGTH + 1
@@ -210,12 +246,17 @@ def sort_windows(h: np.ndarray, key: np.ndarray, start: np.ndarray, place: np.nd
     new = np.concatenate([[True], (covered[1:] != covered[:-1] + 1) | (row[covered[1:]] != row[covered[:-1]])]) if len(covered) else np.zeros(0, bool)
     head = np.flatnonzero(new)
     tail = np.append(head[1:], len(covered)) - 1 if len(head) else head
-    return pd.DataFrame({"key": key[row[covered[head]]], "start": start[row[covered[head]]] + shift[covered[head]], "n": (covered[tail] - covered[head] + 1).astype(np.int32) if len(head) else np.zeros(0, np.int32)})
+    found = pd.DataFrame({"key": key[row[covered[head]]], "start": start[row[covered[head]]] + shift[covered[head]], "n": (covered[tail] - covered[head] + 1).astype(np.int32) if len(head) else np.zeros(0, np.int32), "w1": 0, "w2": 0})
+    if (parts > 1).any():
+        open_ = np.setdiff1d(np.flatnonzero(parts[row] > 1), covered, assume_unique=True)
+        w1, w2 = window_hashes(data, at[open_])
+        found = pd.concat([found, pd.DataFrame({"key": key[row[open_]], "start": start[row[open_]] + shift[open_], "n": np.int32(-1), "w1": w1, "w2": w2})], ignore_index=True)
+    return found
 
 
 def refine_windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for rows in grouped(batches, "h"):
-        yield sort_windows(*(rows[c].to_numpy() for c in ("h", "key", "start", "place")), list(rows["bytes"]))
+    for rows in grouped(batches, "g"):
+        yield sort_windows(*(rows[c].to_numpy() for c in ("h", "key", "start", "place", "parts")), list(rows["bytes"]))
 
 
 def apply_spans(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -255,10 +296,21 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     rows = texts.select("key", "text").mapInPandas(tidy(emit_runs), DOC_SCHEMA)
     rows = rows.repartition("h").sortWithinPartitions("h", "run", "key", "start")
     refined = scratch.keep(rows.mapInPandas(tidy(refine_runs), COVER_SCHEMA), "refined")
-    wanted = refined.where("place >= 0").groupBy("key").agg(F.collect_list(F.struct("h", "start", "n", "place")).alias("runs"))
-    contexts = texts.join(wanted, "key").select("key", "text", "runs").mapInPandas(tidy(cut_contexts), "h long, key long, start long, place int, bytes binary")
-    windows = contexts.repartition("h").sortWithinPartitions("h").mapInPandas(tidy(refine_windows), "key long, start long, n int")
-    covered = refined.where("place < 0").select("key", "start", "n").union(windows)
+    wanted = refined.where("place >= 0")
+    large = wanted.groupBy("h").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("parts")).where("parts > 1")
+    large = scratch.keep(large, "large")
+    dealt = wanted.join(large, "h", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    dealt = dealt.withColumn("g", F.when(F.col("parts") == 1, F.col("h")).otherwise(F.xxhash64("h", F.pmod(F.hash("key"), "parts"))))
+    lists = dealt.groupBy("key").agg(F.collect_list(F.struct("g", "parts", "h", "start", "n", "place")).alias("runs"))
+    contexts = texts.join(lists, "key").select("key", "text", "runs").mapInPandas(tidy(cut_contexts), "g long, parts int, h long, key long, start long, place int, bytes binary")
+    windows = contexts.repartition("g").sortWithinPartitions("g").mapInPandas(tidy(refine_windows), WINDOW_SCHEMA)
+    if large.limit(1).count():
+        windows = scratch.keep(windows, "windows")
+        ahead = windows.where("n < 0").select("w1", "w2", F.struct("key", "start").alias("at"))
+        first = ahead.groupBy("w1", "w2").agg(F.min("at").alias("first"), F.count("*").alias("times")).where("times > 1")
+        later = ahead.join(first, ["w1", "w2"]).where("at <> first").select("at.key", "at.start", F.lit(1).alias("n"))
+        windows = windows.where("n > 0").select("key", "start", "n").union(later)
+    covered = refined.where("place < 0").select("key", "start", "n").union(windows.select("key", "start", "n"))
     spans = covered.groupBy("key").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
     out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start: long, end: long>>"
     return texts.join(spans, "key", "left").select("doc_id", "text", "spans").mapInPandas(tidy(apply_spans), out)

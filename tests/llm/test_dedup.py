@@ -108,6 +108,28 @@ def test_repeated_strings_equal_brute_force(spark, seed):
     assert got == brute.repeats(rows)
 
 
+def test_large_groups_are_dealt_to_several_tasks(spark, monkeypatch):
+    r = random.Random(4)
+    some = lambda n: "".join(r.choice("abcdefghij") for _ in range(n))
+    passage = some(160)
+    rows = [(k, some(r.randint(0, 90)) + passage[r.randint(0, 9) :] + some(r.randint(0, 90))) for k in range(80)]
+    monkeypatch.setattr(repeats, "GROUP", 3)
+    got = {x.doc_id: (x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute.repeats(rows)
+
+
+def test_groups_in_pieces_are_refined_as_whole_ones(spark, monkeypatch):
+    columns = ["h", "run", "context", "key", "start", "n", "place", "done"]
+    rows = pd.DataFrame([(h, run, 5, key, 0, 3, 1, False) for h in (1, 2, 3) for run in (7, 7, 7, 8)[: 4 if h < 3 else 3] for key in (1,)], columns=columns)
+    rows["key"] = range(len(rows))
+    batches = lambda n: iter([rows.iloc[k : k + n] for k in range(0, len(rows), n)])
+    whole = pd.concat(list(repeats.refine_runs(batches(100))))
+    monkeypatch.setattr(repeats, "GROUP", 0)
+    pieces = pd.concat(list(repeats.refine_runs(batches(1))))
+    assert set(whole.loc[whole.place < 0, "key"]) == set(pieces.loc[pieces.place < 0, "key"]) == {1, 2, 5, 6, 9, 10}
+    assert set(whole.loc[whole.place >= 0, "key"]) == {0, 3, 4, 7} <= set(pieces.loc[pieces.place >= 0, "key"])
+
+
 def test_repeats_in_pieces_of_a_long_text(spark, monkeypatch):
     r = random.Random(3)
     text = "".join(r.choice("abcdefgh") for _ in range(900))
