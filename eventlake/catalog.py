@@ -163,7 +163,7 @@ QUERIES: dict[str, Callable[[Lake], DataFrame]] = {
     "affected_posts": lambda x: affected.performance_posts(*changed(x)[:2]), "affected_threads": lambda x: affected.threads(changed(x)[0], x.g["fact_content_events"]),
     "affected_hours": lambda x: affected.hours(changed(x)[0], x.g["fact_content_events"]), "affected_actor_days": lambda x: affected.actor_days(*changed(x), x.g["fact_engagement_events"], x.g["dim_posts"]),
     "affected_network_days": lambda x: affected.network_days(changed(x)[2]), "received_window": lambda x: received_between(x.s["silver_posts"], x.cut, x.cut + timedelta(hours=6)),
-    "key_check": key_checks, "mart_reconcile": mart_reconcile, "silver_readiness": lambda x: checks.readiness({name: x.s[name] for name in x.s.names}),
+    "silver_reconcile": lambda x: checks.silver_reconcile({n: x.s[n] for n in x.s.names}, {n: x.stored[n] for n in x.stored.names}), "key_check": key_checks, "mart_reconcile": mart_reconcile, "silver_readiness": lambda x: checks.readiness({name: x.s[name] for name in x.s.names}),
     "reply_vs_original": lambda x: serving.reply_vs_original(x.m["post_performance"]), "adhoc_minute_reply": lambda x: serving.minute_reply_counts(x.g["fact_content_events"], x.g["dim_posts"]),
     "ttfe_distribution": lambda x: serving.ttfe_distribution(x.m["post_performance"]), "lifecycle_hourly": lambda x: serving.lifecycle_hourly(x.m["content_quality_hourly"]), "engagement_mix": lambda x: serving.engagement_mix(x.g["fact_engagement_events"]),
     "serving_rows": lambda x: serving_rows(x.m["post_performance"]).select("post_uri", "is_deleted", "is_reply", "post_created_at", "engagement_score"),

@@ -60,6 +60,30 @@ def require_reconciled(report: DataFrame, name: str) -> None:
         raise CheckFailed(f"{name}: " + ", ".join(f"{r.metric} {r.expected} != {r.actual}" for r in bad))
 
 
+def require_ok(report: DataFrame) -> None:
+    """Raise if a row of a report isn't ok."""
+    bad = report.where(~F.col("ok")).collect()  # reports have a row a table or measure
+    if bad:
+        raise CheckFailed("; ".join(str(r.asDict()) for r in bad))
+
+
+#: Counts by kind that Silver is reconciled on, besides rows.
+SILVER_COUNTS = {
+    "silver_posts": {"replies": "is_reply", "updates": "operation = 'update'", "texts": "text IS NOT NULL"},
+    "silver_engagements": {"likes": "engagement_type = 'like'", "reposts": "engagement_type = 'repost'", "targets": "subject_uri IS NOT NULL"},
+    "silver_follows": {"targets": "target_actor_did IS NOT NULL"},
+    "silver_deleted_records": {"keys": "record_uri IS NOT NULL"},
+}
+
+
+def silver_reconcile(expected: Mapping[str, DataFrame], actual: Mapping[str, DataFrame]) -> DataFrame:
+    """(table_name, metric, expected, actual, ok) of the Silver tables."""
+    def counted(name: str, df: DataFrame) -> DataFrame:
+        return df.select(*[F.expr(c).cast("int").alias(k) for k, c in SILVER_COUNTS[name].items()])
+
+    return union([reconcile(counted(name, expected[name]), counted(name, actual[name]), list(SILVER_COUNTS[name])).select(F.lit(name).alias("table_name"), "*") for name in SILVER_COUNTS])
+
+
 def check_contract(df: DataFrame, columns: Sequence[str], name: str) -> None:
     """Column names and their order have to be those declared."""
     if df.columns != list(columns):

@@ -228,6 +228,10 @@ def sql() -> dict[str, str]:
         "key_check": " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count, count({k}) AS non_null_count, count(DISTINCT {k}) AS distinct_count, count(*) = count({k}) AND count(*) = count(DISTINCT {k}) AS ok FROM {t}"
             for n, t, k in (("dim_actors", "dim_actors", "actor_did"), ("dim_posts", "dim_posts", "post_uri"), ("fact_content_events", "f_content", "content_event_id"), ("fact_engagement_events", "f_eng", "engagement_event_id"), ("fact_network_events", "f_net", "network_event_id"))),
         "mart_reconcile": " UNION ALL ".join(f"SELECT '{n}' AS mart, metric, v AS expected, v AS actual, true AS ok FROM ({_sums(t, MEASURES[n])})" for n, t in (("post_performance", "perf"), ("network_growth_daily", "network"))),
+        "silver_reconcile": " UNION ALL ".join(f"SELECT '{n}' AS table_name, '{m}' AS metric, count(*) FILTER ({c}) AS expected, count(*) FILTER ({c}) AS actual, true AS ok FROM {t}" for n, t, counts in (
+            ("silver_posts", "posts", {"row_count": "true", "replies": "reply_root_uri IS NOT NULL", "updates": "operation = 'update'", "texts": "text IS NOT NULL"}),
+            ("silver_engagements", "eng", {"row_count": "true", "likes": "engagement_type = 'like'", "reposts": "engagement_type = 'repost'", "targets": "subject_uri IS NOT NULL"}),
+            ("silver_follows", "fol", {"row_count": "true", "targets": "target_actor_did IS NOT NULL"}), ("silver_deleted_records", "del", {"row_count": "true", "keys": "record_uri IS NOT NULL"})) for m, c in counts.items()),
         "silver_readiness": " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count, count(*) > 0 AS ready FROM {t}" for n, t in (("silver_posts", "posts"), ("silver_engagements", "eng"), ("silver_follows", "fol"), ("silver_deleted_records", "del"))),
         "reply_vs_original": "SELECT is_reply, count(*) AS post_count, sum(like_count)::BIGINT AS like_count, sum(repost_count)::BIGINT AS repost_count, sum(engagement_score)::BIGINT AS engagement_score FROM perf WHERE is_reply IS NOT NULL GROUP BY 1",
         "adhoc_minute_reply": "SELECT date_trunc('minute', c.event_time) AS minute, p.is_reply, count(*) AS total_content_events FROM f_content c JOIN dim_posts p USING (post_uri) GROUP BY 1, 2",

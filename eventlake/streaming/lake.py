@@ -34,7 +34,7 @@ def bronze_streams(messages: DataFrame, root: str, checkpoints: str, trigger: Tr
 def silver_batch(catalog: Catalog, stream: str) -> Callable[[DataFrame, int], None]:
     """A foreachBatch function that appends a Bronze batch to the Silver tables, each once a batch.
 
-    The batch id tags the appends: when a batch is delivered again, tables that have it stay as they are.
+    The appends carry the batch's number: when a batch is delivered again, tables that have it stay as they are.
     Counts come from the write; an empty batch only makes sure that the tables exist.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -45,7 +45,7 @@ def silver_batch(catalog: Catalog, stream: str) -> Callable[[DataFrame, int], No
                 table = catalog.table(name, PARTITIONS[name])
                 table.create(rows.schema)
                 if not batch.isEmpty():
-                    table.append(rows, tag=f"{stream}:{batch_id}")
+                    table.append(rows, batch=(stream, batch_id))
         finally:
             batch.unpersist()
 

@@ -1,4 +1,4 @@
-"""Versioned Parquet tables: snapshots, appends, merges and keyed replacement.
+"""Versioned Parquet tables: snapshots, batch-numbered appends, merges and keyed replacement.
 
 A table is a folder of data directories and of one JSON manifest a version, which lists the directories that make
 up the version.  A commit writes its manifest under a name that must not exist yet, so a failed write leaves
@@ -50,9 +50,12 @@ class Table:
         finally:
             stream.close()
 
-    def _commit(self, parts: list[str], schema: T.StructType, operation: str, tag: str | None) -> int:
+    def _commit(self, parts: list[str], schema: T.StructType, operation: str, batch: tuple[str, int] | None = None) -> int:
         last = max(self.versions(), default=0)
-        body = {"version": last + 1, "operation": operation, "tag": tag, "parts": parts, "schema": schema.jsonValue()}
+        batches = dict(self.manifest(last)["batches"]) if last else {}
+        if batch:
+            batches[batch[0]] = batch[1]
+        body = {"version": last + 1, "operation": operation, "batches": batches, "parts": parts, "schema": schema.jsonValue()}
         stream = self.fs.create(self._path(f"{self.path}/_versions/{last + 1}.json"), False)  # fails if it exists
         try:
             stream.write(bytearray(json.dumps(body).encode()))
@@ -61,13 +64,13 @@ class Table:
         return last + 1
 
     def _write(self, df: DataFrame) -> str:
-        part = f"data/{uuid.uuid4().hex}"
+        part = f"data/part=p{uuid.uuid4().hex}"
         df.write.partitionBy(*self.partition_by).parquet(f"{self.path}/{part}") if self.partition_by else df.write.parquet(f"{self.path}/{part}")
         return part
 
     def create(self, schema: T.StructType) -> int:
         """An empty first version; a no-op if there is one."""
-        return max(self.versions(), default=0) or self._commit([], schema, "create", None)
+        return max(self.versions(), default=0) or self._commit([], schema, "create")
 
     def read(self, version: int | None = None) -> DataFrame:
         """Rows of a version, the current one by default; later commits don't change what was read."""
@@ -75,24 +78,26 @@ class Table:
         schema = T.StructType.fromJson(m["schema"])
         if not m["parts"]:
             return self.spark.createDataFrame([], schema)
-        frames = [self.spark.read.schema(schema).parquet(f"{self.path}/{p}") for p in m["parts"]]
-        out = frames[0]
-        for f in frames[1:]:
-            out = out.unionByName(f)
-        return out.select(*schema.fieldNames())
+        # one scan of all parts, however many appends there were; part is a directory level and no column of the table
+        paths = [f"{self.path}/{p}" for p in m["parts"]]
+        return self.spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*paths).select(*schema.fieldNames())
 
-    def overwrite(self, df: DataFrame, tag: str | None = None) -> int:
+    def overwrite(self, df: DataFrame) -> int:
         """A version of these rows alone; ``df`` may read the table itself."""
-        return self._commit([self._write(df)], df.schema, "overwrite", tag)
+        return self._commit([self._write(df)], df.schema, "overwrite")
+
+    def append(self, df: DataFrame, batch: tuple[str, int] | None = None) -> int:
+        """These rows besides the present ones.
 
-    def append(self, df: DataFrame, tag: str | None = None) -> int:
-        """These rows besides the present ones.  With a ``tag`` that is in the history already (a batch delivered again) nothing happens."""
+        ``batch`` is the stream and the number of a micro-batch; numbers grow, and one that is not above the stream's last is
+        being delivered again and changes nothing.
+        """
         if not self.exists():
-            return self._commit([self._write(df)], df.schema, "append", tag)
-        if tag is not None and any(h["tag"] == tag for h in self.history()):
-            return max(self.versions())
+            return self._commit([self._write(df)], df.schema, "append", batch)
         m = self.manifest()
-        return self._commit([*m["parts"], self._write(df)], T.StructType.fromJson(m["schema"]), "append", tag)
+        if batch is not None and batch[1] <= m["batches"].get(batch[0], -1):
+            return m["version"]
+        return self._commit([*m["parts"], self._write(df)], T.StructType.fromJson(m["schema"]), "append", batch)
 
     def merge(self, df: DataFrame, keys: Sequence[str]) -> int:
         """Rows of ``df`` replace those with the same keys; others are added."""
@@ -103,17 +108,17 @@ class Table:
         if not self.exists():
             return self.overwrite(df)
         kept = exclude(self.read(), keys_df, keys, null_safe)
-        return self._commit([self._write(kept.unionByName(df.select(*kept.columns)))], kept.schema, "replace", None)
+        return self._commit([self._write(kept.unionByName(df.select(*kept.columns)))], kept.schema, "replace")
 
     def history(self) -> list[dict]:
-        return [{k: m[k] for k in ("version", "operation", "tag")} for m in map(self.manifest, self.versions())]
+        return [{k: m[k] for k in ("version", "operation", "batches")} for m in map(self.manifest, self.versions())]
 
     def compact(self) -> int:
         """A version of the same rows in one part, after many appends."""
-        return self._commit([self._write(self.read())], T.StructType.fromJson(self.manifest()["schema"]), "compact", None)
+        return self._commit([self._write(self.read())], T.StructType.fromJson(self.manifest()["schema"]), "compact")
 
     def expire(self, keep: int = 2) -> list[str]:
-        """Forget all but the last versions and delete parts that only they had. A tag is forgotten with its version."""
+        """Forget all but the last versions and delete parts that only they had."""
         versions = self.versions()
         live = {p for v in versions[-keep:] for p in self.manifest(v)["parts"]}
         gone = sorted({p for v in versions[:-keep] for p in self.manifest(v)["parts"]} - live)

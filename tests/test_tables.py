@@ -34,16 +34,18 @@ def test_merge_truth_table_and_snapshots(spark, lake):
     assert [h["operation"] for h in t.history()] == ["overwrite", "replace", "overwrite"]
 
 
-def test_appends_are_tagged_and_parts_expire(spark, lake):
+def test_appends_are_numbered_and_parts_expire(spark, lake):
     t = lake.table("t", ["k"])
     t.create(frame(spark).schema)
     assert t.read().count() == 0 and t.create(frame(spark).schema) == 1
     for _ in range(2):
-        t.append(frame(spark, ("a", "1")), tag="batch:1")
-    t.append(frame(spark, ("a", "2")), tag="batch:2")
+        t.append(frame(spark, ("a", "1")), batch=("s", 1))
+    t.append(frame(spark, ("a", "2")), batch=("s", 2))
     assert rows(t.read()) == [("a", "1"), ("a", "2")]
+    assert t.read()._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
     t.compact()
-    assert len(t.manifest()["parts"]) == 1 and len(t.expire(1)) == 2
+    t.append(frame(spark, ("z", "late")), batch=("s", 1))
+    assert len(t.manifest()["parts"]) == 1 and len(t.expire(1)) == 2 and t.history()[0]["batches"] == {"s": 2}
     assert rows(t.read()) == [("a", "1"), ("a", "2")] and lake.list() == ["t"]
     lake.views()
     assert spark.sql("SELECT count(*) AS n FROM t").first().n == 2 and rows(lake.counts()) == [("t", 2)]
