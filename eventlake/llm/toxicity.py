@@ -24,9 +24,9 @@ INSULTS = frozenset("asshole bastard bitch clown coward creep cretin damn disgus
 CATEGORIES = ("insult", "coded", "toxic")
 #: Word starts of these lengths are features, since abusive stems come with many endings.
 STEMS = (4, 5, 6, 7)
-#: At most about so many labelled rows are fitted on, chosen by a hash of doc_id; so many features, by their z score.
-MAX_LABELLED, MAX_FEATURES, LEAST_Z, LEAST_DOCS = 16_000, 1024, 3.0, 3
-FOLDS, STEPS, RIDGE = 5, 200, 3e-4
+#: At most about so many labelled rows are fitted on, chosen by a hash of doc_id; so many features, by the z score of their log odds ratio, which has to be large itself.
+MAX_LABELLED, MAX_FEATURES, LEAST_Z, LEAST_ODDS, LEAST_DOCS = 16_000, 2048, 3.0, 2.0, 3
+FOLDS, STEPS, RIDGE = 5, 300, 1e-4
 THRESHOLD = 0.5
 
 
@@ -47,6 +47,14 @@ def count_traits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([(t, toxic[t], clean[t]) for t in {*toxic, *clean}], columns=["trait", "bad", "good"])
 
 
+def distinct(found: list[tuple[str, int, int]]) -> list[str]:
+    """Traits without those that say the same: of a word and its starts with equal counts the shortest stays."""
+    kept: dict[tuple[str, int, int], str] = {}
+    for trait, bad, good in sorted(found, key=lambda x: len(x[0])):
+        kept.setdefault((trait[: STEMS[0]], bad, good), trait)
+    return sorted(kept.values())
+
+
 @dataclass
 class Chain:
     traits: list[str]
@@ -138,9 +146,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
         return Chain([], [(np.zeros(k), -20.0 if not bad else 20.0) for k in range(len(CATEGORIES))])
     counts = sample.mapInPandas(tidy(count_traits), "trait string, bad long, good long").groupBy("trait").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).where(F.col("bad") >= LEAST_DOCS)
     odds = F.log((F.col("bad") + 0.5) / (bad - F.col("bad") + 0.5)) - F.log((F.col("good") + 0.5) / (good - F.col("good") + 0.5))
+    counts = counts.where(F.expr(f"bad <= {bad} AND good <= {good}"))
     z = odds / F.sqrt(1 / (F.col("bad") + 0.5) + 1 / (F.col("good") + 0.5))
-    chosen = counts.where(F.expr(f"bad <= {bad} AND good <= {good}")).select("trait", z.alias("z")).where(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "trait").limit(MAX_FEATURES).collect()
-    chain = Chain([r.trait for r in chosen], [])
+    best = counts.select("trait", "bad", "good", odds.alias("odds"), z.alias("z")).where((F.col("z") >= LEAST_Z) & (F.col("odds") >= LEAST_ODDS)).orderBy(F.desc("z"), "trait").limit(MAX_FEATURES).collect()
+    chain = Chain(distinct([(r.trait, r.bad, r.good) for r in best]), [])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -149,7 +158,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
             yield pd.DataFrame({"doc_id": batch["doc_id"], "toxic": batch["toxic"].astype(int), "seed": seed, "found": [np.flatnonzero(r).tolist() for r in x]})
 
     rows = sample.mapInPandas(tidy(run), "doc_id long, toxic int, seed boolean, found array<int>").toPandas().sort_values("doc_id")
-    x = np.zeros((len(rows), len(chosen)), np.float32)
+    x = np.zeros((len(rows), len(chain.traits)), np.float32)
     for k, found in enumerate(rows["found"]):
         x[k, np.asarray(found, int)] = 1
     toxic, seed = rows["toxic"].to_numpy() > 0, rows["seed"].to_numpy(bool)

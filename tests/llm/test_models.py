@@ -150,3 +150,23 @@ def test_decontamination_without_broadcast(spark, monkeypatch):
     expected = {(r.doc_id, r.item_id) for r in decontaminate.query(spark, SF).collect()}
     monkeypatch.setattr(decontaminate, "MAX_BROADCAST", 0)
     assert {(r.doc_id, r.item_id) for r in decontaminate.query(spark, SF).collect()} == expected
+
+
+def test_abusive_stems_are_learned_and_clean_texts_left_alone(spark):
+    r = random.Random(7)
+    vocabulary = ["".join(r.choices("aeinorst", k=r.randint(2, 8))) for _ in range(2500)]
+    common = vocabulary[:60]
+
+    def text(k, bad):
+        words = r.choices(common, k=r.randint(5, 40)) + r.choices(vocabulary, k=r.randint(5, 200))
+        if bad:
+            for _ in range(r.randint(1, 3)):
+                words.insert(r.randrange(len(words)), r.choice(["idiot", "worthless", "gruzk" + r.choice(vocabulary), "plim" + r.choice(vocabulary)]))
+        return " ".join(words)
+
+    rows = [(k, text(k, k % 9 == 0)) for k in range(1800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 1, int(k % 9 == 0)) for k in range(1800)], NO_LABELS)
+    got = toxicity.classify(docs, labels).where("held_out").collect()
+    assert np.mean([x.toxic for x in got if x.doc_id % 9 == 0]) > 0.95
+    assert np.mean([x.toxic for x in got if x.doc_id % 9]) < 0.01
