@@ -29,8 +29,11 @@ MIX_A, MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 class Scratch:
     """Intermediate tables of one call, written to the shared folder so that lineage is cut durably."""
 
+    roots: list[str] = []
+
     def __init__(self, spark: SparkSession, name: str) -> None:
         self.spark, self.root = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        self.roots.append(self.root)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` once and return the table as read back."""
@@ -41,8 +44,21 @@ class Scratch:
     def drop(self, *names: str) -> None:
         """Delete tables that no later plan reads."""
         for name in names:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            delete(self.spark, f"{self.root}/{name}")
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def clean_scratch(spark: SparkSession) -> int:
+    """Delete the intermediate tables of all calls so far, once their results have been written; returns how many calls."""
+    n = len(Scratch.roots)
+    for root in Scratch.roots:
+        delete(spark, root)
+    Scratch.roots.clear()
+    return n
 
 
 class WordHashes(dict):

@@ -13,7 +13,7 @@ from brute import DOCS, ODD
 from pyspark.sql import functions as F
 
 from eventlake.llm import exact_dedup, near_dedup, repeats, sharding
-from eventlake.llm.common import Scratch, components
+from eventlake.llm.common import Scratch, clean_scratch, components
 
 SF = "/root/testdata/sf0.001"
 
@@ -180,3 +180,12 @@ def test_shards_of_odd_rows(spark):
     assert len(got) == len(ODD) and sorted((r.shard, r.slot) for r in got) == [(k, 0) for k in range(len(ODD))]
     assert next(r for r in got if r.doc_id == 5)[1:3] == (1, 0)
     assert sharding.shard_rows(odd(spark).limit(0)).count() == 0
+
+
+def test_scratch_tables_can_be_deleted(spark):
+    from pathlib import Path
+
+    scratch = Scratch(spark, "gone")
+    assert scratch.keep(spark.range(3), "t").count() == 3
+    at = Path(scratch.root.removeprefix("file://"))
+    assert at.exists() and clean_scratch(spark) > 0 and not at.exists()
