@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 POST, LIKE, REPOST, FOLLOW = "app.bsky.feed.post", "app.bsky.feed.like", "app.bsky.feed.repost", "app.bsky.graph.follow"
 COLLECTIONS = (POST, LIKE, REPOST, FOLLOW)
 SCHEMA_VERSION = 1
-SOURCE = "jetstream"
+SOURCE = "firehose"
 
 REF = "struct<uri: string, cid: string>"
 #: Record bodies by family.  A subject is an object for likes and reposts and a string for follows, so each family is parsed with a schema of its own.
