@@ -36,12 +36,12 @@ class Built(dict):
         return self[name]
 
 
-def stored_silver(spark: SparkSession, sf_dir: str, fresh: Built) -> Built:
-    """The Silver tables of an input, written once an application and input version: what is modelled reads tables, not JSON."""
+def stored(spark: SparkSession, sf_dir: str, layer: str, fresh: Built) -> Built:
+    """The tables of a layer, each written once an application and input version: a layer reads the tables of the one below, not its plan."""
     events = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/events.parquet")
     status = events.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(events)
     version = hashlib.sha256(f"{sf_dir} {status.getModificationTime()} {status.getLen()}".encode()).hexdigest()[:16]
-    tables = Catalog(spark, f"{shared_dir(spark)}/silver-{spark.sparkContext.applicationId}/{version}")
+    tables = Catalog(spark, f"{shared_dir(spark)}/{layer}-{spark.sparkContext.applicationId}/{version}")
 
     def read(name: str) -> DataFrame:
         table = tables.table(name)
@@ -49,11 +49,11 @@ def stored_silver(spark: SparkSession, sf_dir: str, fresh: Built) -> Built:
             table.overwrite(fresh[name])
         return table.read()
 
-    return Built(silver.TABLES, read)
+    return Built(fresh.names, read)
 
 
 class Lake:
-    """The layers over one input, as lazy plans: raw messages to Silver on the fly, the rest from Silver tables."""
+    """The layers over one input: s, g and m are plans for Silver, Gold and marts, each over the stored tables of the layer below."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
@@ -72,16 +72,20 @@ class Lake:
         return Built(silver.TABLES, lambda name: silver.TABLES[name](commits))
 
     @cached_property
-    def stored(self) -> Built:
-        return stored_silver(self.spark, self.sf_dir, self.s)
+    def silver(self) -> Built:
+        return stored(self.spark, self.sf_dir, "silver", self.s)
 
     @cached_property
     def g(self) -> Built:
-        return Built(modeled.BUILDERS, lambda name: modeled.BUILDERS[name](self.stored))
+        return Built(modeled.BUILDERS, lambda name: modeled.BUILDERS[name](self.silver))
+
+    @cached_property
+    def gold(self) -> Built:
+        return stored(self.spark, self.sf_dir, "gold", self.g)
 
     @cached_property
     def m(self) -> Built:
-        return Built(marts.BUILDERS, lambda name: marts.BUILDERS[name](self.stored, self.g))
+        return Built(marts.BUILDERS, lambda name: marts.BUILDERS[name](self.silver, self.gold))
 
     @cached_property
     def rt(self) -> Built:
@@ -104,13 +108,13 @@ class Lake:
 
 def facts_new_only(lake: Lake) -> DataFrame:
     """Candidates of all of Silver without the facts that are there already."""
-    known = lake.until(lake.g["fact_content_events"])
+    known = lake.until(lake.gold["fact_content_events"])
     return exclude(lake.g["fact_content_events"], known, ["content_event_id"]).select("content_event_id", "content_event_type", "post_uri", "jetstream_time_us")
 
 
 def dim_posts_merge(lake: Lake) -> DataFrame:
     """The dimension of the first half, merged with rows recomputed for posts that the second half touches."""
-    posts, deletes = lake.stored["silver_posts"], lake.stored["silver_deleted_records"]
+    posts, deletes = lake.silver["silver_posts"], lake.silver["silver_deleted_records"]
     old = modeled.dim_posts(lake.until(posts), lake.until(deletes))
     keys = affected.post_keys(lake.since(posts), lake.since(deletes))
     own = restrict(posts, keys, ["post_uri"])
@@ -121,7 +125,7 @@ def dim_posts_merge(lake: Lake) -> DataFrame:
 
 def mart_reconcile(lake: Lake) -> DataFrame:
     """Marts against marts recomputed from the touched and the untouched keys apart."""
-    g = lake.g
+    g = lake.gold
     keys = affected.performance_posts(lake.since(g["fact_content_events"]), lake.since(g["fact_engagement_events"]))
     parts = []
     for cut in (restrict, exclude):
@@ -134,7 +138,7 @@ def mart_reconcile(lake: Lake) -> DataFrame:
 
 
 def key_checks(lake: Lake) -> DataFrame:
-    return union([checks.key_check(lake.g[name], KEYS[name], name) for name in lake.g.names])
+    return union([checks.key_check(lake.gold[name], KEYS[name], name) for name in lake.gold.names])
 
 
 def family_counts(lake: Lake) -> DataFrame:
@@ -142,7 +146,7 @@ def family_counts(lake: Lake) -> DataFrame:
 
 
 def changed(lake: Lake) -> list[DataFrame]:
-    return [lake.since(lake.g[n]) for n in ("fact_content_events", "fact_engagement_events", "fact_network_events")]
+    return [lake.since(lake.gold[n]) for n in ("fact_content_events", "fact_engagement_events", "fact_network_events")]
 
 
 QUERIES: dict[str, Callable[[Lake], DataFrame]] = {
@@ -160,12 +164,12 @@ QUERIES: dict[str, Callable[[Lake], DataFrame]] = {
     "rt_latest_metrics": lambda x: serving.latest_metrics(x.rt), "rt_metric_summary": lambda x: serving.metric_summary(x.rt), "rt_event_share": lambda x: serving.event_share(x.rt["event_volume"]),
     "rt_engagement_ratio": lambda x: serving.engagement_to_post_ratio(x.rt["content_activity"], x.rt["engagement"]), "rt_net_follow": lambda x: serving.net_follows(x.rt["network_activity"]),
     "rt_minute_activity": lambda x: x.rt["content_activity"].where((F.col("window_start") >= F.lit(x.cut).cast("timestamp_ntz")) & (F.col("window_start") < F.lit(x.cut + timedelta(days=1)).cast("timestamp_ntz"))),
-    "affected_posts": lambda x: affected.performance_posts(*changed(x)[:2]), "affected_threads": lambda x: affected.threads(changed(x)[0], x.g["fact_content_events"]),
-    "affected_hours": lambda x: affected.hours(changed(x)[0], x.g["fact_content_events"]), "affected_actor_days": lambda x: affected.actor_days(*changed(x), x.g["fact_engagement_events"], x.g["dim_posts"]),
+    "affected_posts": lambda x: affected.performance_posts(*changed(x)[:2]), "affected_threads": lambda x: affected.threads(changed(x)[0], x.gold["fact_content_events"]),
+    "affected_hours": lambda x: affected.hours(changed(x)[0], x.gold["fact_content_events"]), "affected_actor_days": lambda x: affected.actor_days(*changed(x), x.gold["fact_engagement_events"], x.gold["dim_posts"]),
     "affected_network_days": lambda x: affected.network_days(changed(x)[2]), "received_window": lambda x: received_between(x.s["silver_posts"], x.cut, x.cut + timedelta(hours=6)),
-    "silver_reconcile": lambda x: checks.silver_reconcile({n: x.s[n] for n in x.s.names}, {n: x.stored[n] for n in x.stored.names}), "key_check": key_checks, "mart_reconcile": mart_reconcile, "silver_readiness": lambda x: checks.readiness({name: x.s[name] for name in x.s.names}),
-    "reply_vs_original": lambda x: serving.reply_vs_original(x.m["post_performance"]), "adhoc_minute_reply": lambda x: serving.minute_reply_counts(x.g["fact_content_events"], x.g["dim_posts"]),
-    "ttfe_distribution": lambda x: serving.ttfe_distribution(x.m["post_performance"]), "lifecycle_hourly": lambda x: serving.lifecycle_hourly(x.m["content_quality_hourly"]), "engagement_mix": lambda x: serving.engagement_mix(x.g["fact_engagement_events"]),
+    "silver_reconcile": lambda x: checks.silver_reconcile({n: x.s[n] for n in x.s.names}, {n: x.silver[n] for n in x.silver.names}), "key_check": key_checks, "mart_reconcile": mart_reconcile, "silver_readiness": lambda x: checks.readiness({name: x.s[name] for name in x.s.names}),
+    "reply_vs_original": lambda x: serving.reply_vs_original(x.m["post_performance"]), "adhoc_minute_reply": lambda x: serving.minute_reply_counts(x.gold["fact_content_events"], x.gold["dim_posts"]),
+    "ttfe_distribution": lambda x: serving.ttfe_distribution(x.m["post_performance"]), "lifecycle_hourly": lambda x: serving.lifecycle_hourly(x.m["content_quality_hourly"]), "engagement_mix": lambda x: serving.engagement_mix(x.gold["fact_engagement_events"]),
     "serving_rows": lambda x: serving_rows(x.m["post_performance"]).select("post_uri", "is_deleted", "is_reply", "post_created_at", "engagement_score"),
 }
 
