@@ -131,6 +131,26 @@ def test_keys_scope_and_windows(spark):
     assert received_between(s, None, at(3)).count() == 3
 
 
+def test_latest_by_equals_a_plain_maximum_for_any_rows(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    row = st.tuples(st.sampled_from("ab"), st.none() | st.integers(0, 3), st.none() | st.sampled_from(["1", "2"]), st.sampled_from(["create", "update"]))
+
+    @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(row, min_size=1, max_size=12))
+    def check(found):
+        df = spark.createDataFrame(found, "k string, jetstream_time_us long, received_at string, operation string")
+        best = {}
+        for r in found:
+            rank = (r[1] is not None, r[1] or 0, r[2] is not None, r[2] or "", r[3])
+            if r[0] not in best or rank > best[r[0]][0]:
+                best[r[0]] = (rank, r)
+        assert rows(latest_by(df, "k")) == sorted((tuple(v[1]) for v in best.values()), key=str)
+
+    check()
+
+
 def test_plans_push_filters_and_scan_once(spark):
     from eventlake.catalog import Lake
 
