@@ -32,7 +32,7 @@ MARKUP = re.compile(
 )
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 PARTS = re.compile(r"[a-z0-9]+")
-PAGES, STEPS, RATE, RIDGE = 600, 150, 0.1, 1e-3
+PAGES, STEPS, RATE, RIDGE = 900, 200, 0.1, 2e-4
 
 
 @dataclass

@@ -96,11 +96,11 @@ class Page:
             self.block("h1", self.text(1, 14), True)
         for _ in range(r.choice([0, 1, 2, 3, 6, 12, 20])):
             kind = r.random()
-            if kind < 0.82:
+            if kind < 0.78:
                 self.block("p", self.text(1, r.choice([2, 10, 60, 100])), True)
-            elif kind < 0.9:
+            elif kind < 0.86:
                 self.block(r.choice(["h2", "h3", "blockquote", "pre"]), self.text(1, 20), True)
-            elif kind < 0.95:
+            elif kind < 0.9:
                 self.html.append("<ul>")
                 for _ in range(r.randint(1, 4)):
                     self.block("li", self.text(1, 15), True)
