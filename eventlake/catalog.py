@@ -60,7 +60,8 @@ class Lake:
 
     @cached_property
     def messages(self) -> DataFrame:
-        return kafka_messages(self.spark, self.sf_dir)
+        """The topic as landed: JSON is a stored column, not an expression that each use would evaluate again."""
+        return stored(self.spark, self.sf_dir, "landing", Built(["messages"], lambda _: kafka_messages(self.spark, self.sf_dir)))["messages"]
 
     @cached_property
     def bronze(self) -> DataFrame:

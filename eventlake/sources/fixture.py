@@ -29,7 +29,10 @@ def unclosed(text: Column) -> Column:
 
 def kafka_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """key, value (envelope JSON), topic, partition, offset, timestamp: what the ingest topic would hold."""
-    e = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    if e.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:  # one small file is one task; building JSON is the work here
+        e = e.repartition(spark.sparkContext.defaultParallelism)
+    e = e.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
     e = e.withColumn("b", F.col("user_id") - F.col("user_id") % 10)
     k, b, n, kind = F.col("k"), F.col("b"), F.col("event_id"), F.col("event_type")
     tenth = F.floor(k / 10)
