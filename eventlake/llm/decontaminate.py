@@ -19,8 +19,8 @@ from .common import Scratch
 WINDOW, STEP = 6, 8
 RUN = WINDOW + STEP - 1
 COVERAGE = 0.5
-#: Least tokens of an item, and least of its windows' tokens that aren't placeholders.
-SHORTEST, LITERALS = 4, 4
+#: Least tokens of an item.
+SHORTEST = 4
 #: Rows of a side that may be broadcast (under 50 bytes each).
 MAX_BROADCAST = 1_000_000
 #: Units that make a slot after a number.
@@ -71,8 +71,7 @@ def small(df: DataFrame) -> DataFrame:
 
 def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     """doc_id, item_id, shift: alignments (document place minus item place) with a common window."""
-    literal = F.size(F.filter(F.slice("c", F.col("x.at"), WINDOW), lambda c: ~c.startswith("#"))) >= LITERALS
-    known = items.where(F.size("c") >= RUN).select("item_id", "c", F.explode(windows(WINDOW, 1)).alias("x")).where(literal)
+    known = items.where(F.size("c") >= RUN).select("item_id", "c", F.explode(windows(WINDOW, 1)).alias("x"))
     known = known.select("item_id", F.col("x.at").alias("item_at"), F.col("x.h").alias("h"))
     places = docs.select("doc_id", F.explode(windows(WINDOW, STEP)).alias("x"))
     found = [places.select("doc_id", "x.at", "x.h").join(small(known), "h").select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift"))]
