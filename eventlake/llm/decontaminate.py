@@ -1,16 +1,15 @@
 """Benchmark decontamination by template canonicalisation (DataFrame and SQL functions only).
 
 Numbers, units after numbers, and names become typed placeholders, so a question asked again with other values
-keeps its template.  Template windows of documents are hash-joined with those of benchmark items; each hit
-fixes an alignment, along which all tokens of the item are compared and the values of its slots checked: one
-value of the item has to stand for one value in the document and the other way round.
+keeps its template.  Template windows of documents are hash-joined with those of benchmark items, which finds
+unbroken runs; single tokens are joined with the rarer ones of each item, enough of them that every alignment of the
+coverage asked for has ``VOTES`` hits, wherever its edits are.  Each alignment found is checked: all tokens of the
+item are compared and the values of its slots too: one value of the item has to stand for one value in the document and the other way round.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch
@@ -21,6 +20,10 @@ RUN = WINDOW + STEP - 1
 COVERAGE = 0.5
 #: Least tokens of an item.
 SHORTEST = 4
+#: Common tokens along an alignment that make it a candidate; a common window counts as so many.
+VOTES = 3
+#: Part of the documents in which tokens are counted, to tell rare from common ones; it has no say in the result.
+SAMPLE = 1 / 64
 #: Rows of a side that may be broadcast (under 50 bytes each).
 MAX_BROADCAST = 1_000_000
 #: Units that make a slot after a number.
@@ -69,24 +72,40 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST else df
 
 
-def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """doc_id, item_id, shift: alignments (document place minus item place) with a common window."""
-    known = items.where(F.size("c") >= RUN).select("item_id", "c", F.explode(windows(WINDOW, 1)).alias("x"))
-    known = known.select("item_id", F.col("x.at").alias("item_at"), F.col("x.h").alias("h"))
-    places = docs.select("doc_id", F.explode(windows(WINDOW, STEP)).alias("x"))
-    found = [places.select("doc_id", "x.at", "x.h").join(small(known), "h").select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift"))]
-    # an item too short for the step is looked for whole, at every place; there are at most RUN - SHORTEST lengths
-    for (n,) in items.where((F.size("c") < RUN) & (F.size("c") >= SHORTEST)).select(F.size("c")).distinct().collect():
-        short = items.where(F.size("c") == n).select("item_id", F.xxhash64("c").alias("h"))
-        at = docs.select("doc_id", F.explode(windows(n, 1)).alias("x"))
-        found.append(at.select("doc_id", "x.at", "x.h").join(small(short), "h").select("doc_id", "item_id", (F.col("at") - 1).alias("shift")))
-    return reduce(DataFrame.union, found).distinct()
+def rarer(items: DataFrame, docs: DataFrame, coverage: float) -> DataFrame:
+    """item_id, item_at, h: the rarest n - m + VOTES of the n tokens of each item, m being the least number that has to agree.
+
+    Only m - VOTES tokens are outside, so of m that agree at least VOTES are inside.
+    """
+    tokens = lambda df, *cols: df.select(*cols, F.posexplode("c").alias("item_at", "t"))
+    often = tokens(docs.sample(SAMPLE, 1)).groupBy("t").agg(F.count("*").alias("often"))
+    n = items.where(F.size("c") >= SHORTEST).withColumn("n", F.size("c"))
+    known = tokens(n, "item_id", "n").join(often, "t", "left")
+    rank = F.row_number().over(Window.partitionBy("item_id").orderBy(F.coalesce("often", F.lit(0)), "item_at"))
+    return known.withColumn("rank", rank).where(F.col("rank") <= F.col("n") - least(F.col("n"), coverage) + VOTES).select("item_id", (F.col("item_at") + 1).alias("item_at"), F.xxhash64("t").alias("h"))
+
+
+def least(n: Column, coverage: float) -> Column:
+    """The least number of tokens that have to agree of an item of n."""
+    return F.greatest(F.lit(SHORTEST), F.ceil(n * coverage - 1e-9).cast("int"))
+
+
+def hits(docs: DataFrame, items: DataFrame, coverage: float) -> DataFrame:
+    """doc_id, item_id, shift: alignments (document place minus item place) with a common window or VOTES common tokens of the rarer ones."""
+    whole = items.where(F.size("c") >= RUN).select("item_id", F.explode(windows(WINDOW, 1)).alias("x"))
+    known = whole.select("item_id", F.col("x.at").alias("item_at"), F.col("x.h").alias("h"), F.lit(VOTES).alias("votes"))
+    known = known.union(rarer(items, docs, coverage).withColumn("votes", F.lit(1)))
+    single = F.transform("c", lambda t, k: F.struct((k + 1).alias("at"), F.xxhash64(t).alias("h")))
+    places = docs.select("doc_id", F.explode(F.concat(windows(WINDOW, STEP), single)).alias("x"))
+    found = places.select("doc_id", "x.at", "x.h").join(small(known), "h")
+    votes = found.groupBy("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).agg(F.sum("votes").alias("votes"))
+    return votes.where(F.col("votes") >= VOTES).drop("votes")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """doc_id, item_id, n_tokens, n_matched, longest_run, coverage, reparameterised: items that a document holds.
 
-    An item counts as held when, along one alignment, at least ``coverage`` of its tokens agree or a run of ``RUN`` does;
+    An item counts as held when, along one alignment, at least ``coverage`` of its tokens (and ``SHORTEST``) agree or a run of ``RUN`` does;
     placeholders agree only if the item's slot values map one to one to the document's.  ``reparameterised``:
     some value differs.  Per document and item the alignment with most agreeing tokens, then the least shift is
     reported.  Null and empty texts hold nothing; items of fewer than ``SHORTEST`` tokens are too
@@ -95,7 +114,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     scratch = Scratch(docs.sparkSession, "decontaminate")
     items = scratch.keep(with_templates(benchmark.select("item_id", "text"), written=True), "items")
     read = docs.select("doc_id", "text")
-    found = scratch.keep(hits(with_templates(read), items), "hits")
+    found = scratch.keep(hits(with_templates(read), items, coverage), "hits")
     per_doc = found.groupBy("doc_id").agg(F.collect_set(F.struct("item_id", "shift")).alias("pairs"))
     per_doc = small(per_doc).alias("p")
     d = read.alias("d").join(per_doc, F.col("d.doc_id").eqNullSafe(F.col("p.doc_id"))).select("d.doc_id", "d.text", "p.pairs")
@@ -115,7 +134,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     judged = both.withColumn("fits", one_to_one).withColumn("agree", agree).select(
         "doc_id", "item_id", "shift", F.size("x").alias("n_tokens"), F.size(F.filter("agree", lambda a: a)).alias("n_matched"), run.alias("longest_run"),
         F.exists("x", lambda p: p["same"] & p["slot"] & F.col("fits") & (p["a"] != p["b"])).alias("reparameterised"))
-    judged = judged.withColumn("coverage", F.col("n_matched") / F.col("n_tokens")).where((F.col("coverage") >= coverage) | (F.col("longest_run") >= RUN))
+    judged = judged.withColumn("coverage", F.col("n_matched") / F.col("n_tokens")).where((F.col("n_matched") >= least(F.col("n_tokens"), coverage)) | (F.col("longest_run") >= RUN))
     best = judged.groupBy("doc_id", "item_id").agg(F.max_by(F.struct("n_tokens", "n_matched", "longest_run", "coverage", "reparameterised"), F.struct("n_matched", -F.col("shift"), "longest_run")).alias("b"))
     return best.select("doc_id", "item_id", "b.*")
 

@@ -1,5 +1,7 @@
 """Decontamination of slot-rich, edited and short items, at all places of a document."""
 
+import random
+
 import pytest
 
 from eventlake.llm import decontaminate
@@ -17,3 +19,25 @@ def found(spark, docs, items):
 def test_slot_rich_items_are_found_at_every_place(spark, change):
     docs = ["filler " * k + ". " + change(t) + " the end of it all" for t in SLOTS for k in range(8)]
     assert set(found(spark, docs, SLOTS)) == {(8 * i + k, i) for i in range(2) for k in range(8)}
+
+
+def agreeing(doc, item):
+    """Most tokens that agree along any alignment of two texts without slots."""
+    d, w = doc.lower().split(), item.lower().split()
+    return max(sum(0 <= j + s < len(d) and d[j + s] == w[j] for j in range(len(w))) for s in range(-len(w), len(d)))
+
+
+def test_edited_copies_equal_all_alignments(spark):
+    r = random.Random(3)
+    vocabulary = ["".join(r.choices("aeinorst", k=4)) + "y" for _ in range(300)]
+    items = [" ".join(r.choices(vocabulary, k=n)) for n in (5, 8, 12, 13, 20, 31, 47)]
+    docs = []
+    for item in items:
+        for every in (2, 3, 4, 5, 6, 7, 8, 9, 10, 12):
+            for k in range(8):
+                copy = ["edited" if j % every == every - 1 else t for j, t in enumerate(item.split())]
+                docs.append(" ".join(["filler"] * k + copy + r.choices(vocabulary, k=30)))
+    docs += [" ".join(r.choice([t, "edited"]) for t in item.split()) for item in items for _ in range(30)]
+    expected = {(d, i): n for d, doc in enumerate(docs) for i, item in enumerate(items) if (n := agreeing(doc, item)) >= max(4, len(item.split()) / 2)}
+    got = found(spark, docs, items)
+    assert expected and {k: x.n_matched for k, x in got.items()} == expected
