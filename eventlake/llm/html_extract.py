@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -16,9 +17,18 @@ from pyspark.sql import functions as F
 from .common import small_batches, tidy
 from .sample_pages import Page
 
-#: Elements whose text is never part of a page's blocks; the parser skips to their end tag.
-SILENT = ("script", "style", "noscript", "template", "head", "title", "svg", "iframe", "object", "textarea", "select", "math", "canvas", "audio", "video")
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark meter nobr output q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+#: Elements whose text is code; the parser skips to their end tag, or to the end of the page.
+RAW = ("script", "style")
+#: Other elements whose text is never part of a page's blocks.  They end with their own end tag or that of an element around them.
+SILENT = frozenset("noscript template head title svg iframe textarea select canvas audio video annotation annotation-xml".split())
+#: What may stand in a head, which any other element ends, as it does without its end tag.
+HEAD = frozenset("title base link meta noscript template".split())
+#: Elements that end a drawing left open.
+BREAKOUT = frozenset("address article aside blockquote body center dd div dl dt footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table ul".split())
+INLINE = frozenset(
+    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark meter nobr output q rp rt ruby s samp small span strike strong sub sup time tt u var wbr object"
+    " math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics".split()
+)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: What a start tag ends if open: itself a paragraph, or an item of its own list or table.
 PARAGRAPH = frozenset(["p"])
@@ -26,7 +36,7 @@ ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td",
 #: Elements that an implied end doesn't reach over.
 SCOPE = frozenset("ul ol dl table article section div main aside nav header footer form body".split())
 MARKUP = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<(?P<silent>" + "|".join(SILENT) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=silent)\s*>|\Z)"
+    r"<!--.*?(?:--!?>|\Z)|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>|</?[a-zA-Z][^>]*>",
     re.S | re.I,
 )
@@ -57,6 +67,8 @@ def blocks(page: str | None) -> list[Block]:
     stack: list[tuple[str, tuple[str, ...]]] = []
     above: tuple[str, ...] = ()
     parts: list[str] = []
+    silent: list[str] = []  # a silent element and what is open inside it
+    inline: Counter[str] = Counter()  # open inline elements
     linked = link = at = 0
 
     def flush() -> None:
@@ -68,17 +80,44 @@ def blocks(page: str | None) -> list[Block]:
                 out.append(Block(above, text, linked))
             linked = 0
 
-    for found in MARKUP.finditer(page):
-        if found.start() > at:
-            parts.append(page[at : found.start()])
+    def read(text: str) -> None:
+        nonlocal linked
+        if silent == ["head"] and text.strip():
+            silent.clear()
+        if text and not silent:
+            parts.append(text)
             if link:
-                linked += found.start() - at
+                linked += len(text)
+
+    for found in MARKUP.finditer(page):
+        read(page[at : found.start()])
         at = found.end()
         tag = found["tag"]
         if not tag:
             continue
         tag = tag.lower()
+        empty = tag in VOID or found["attrs"].endswith("/")
+        if silent and not found["end"]:
+            if (tag == "body" and silent[0] in ("head", "title")) or (silent == ["head"] and tag not in HEAD) or (silent[0] == "svg" and tag in BREAKOUT and "foreignobject" not in silent):
+                silent.clear()
+            else:
+                if not empty:
+                    silent.append(tag)
+                continue
+        if silent:
+            if tag in silent:
+                del silent[len(silent) - 1 - silent[::-1].index(tag) :]
+                continue
+            if not (inline[tag] if tag in INLINE else any(x == tag for x, _ in stack)):
+                continue
+            silent.clear()
+        if tag in SILENT:
+            if not found["end"] and not empty:
+                silent.append(tag)
+            continue
         if tag in INLINE:
+            if not empty:
+                inline[tag] = max(0, inline[tag] + (-1 if found["end"] else 1))
             if tag == "a":
                 link = 0 if found["end"] else 1
             elif tag == "br":
@@ -103,8 +142,7 @@ def blocks(page: str | None) -> list[Block]:
                 stack.append((tag, ("t:" + tag, *(names(attrs) if attrs and "=" in attrs else ()))))
         above = tuple(x for _, features in stack for x in features)
         link = 0
-    if at < len(page):
-        parts.append(page[at:])
+    read(page[at:])
     flush()
     return out
 
