@@ -28,7 +28,10 @@ SAMPLE = 1 / 64
 MAX_BROADCAST = 1_000_000
 #: Units that make a slot after a number.
 UNITS = "km m cm mm mi ft kg g mg lb oz t l ml s sec ms min h hr hour hours minute minutes second seconds day days week weeks month months year years percent eur usd dollars euros cents mph kmh w kw v a hz mb gb tb"
-TOKEN = r"[\p{L}\p{M}]+|[0-9]+(?:[.,][0-9]+)*|[.!?:;\n%€$£]"
+#: Thai, Lao, Myanmar, Khmer, kana and Han, written without spaces: each character is a token.  Ranges are matched faster than scripts.
+UNSPACED = r"฀-໿က-႟ក-៿々-〇぀-ヿㇰ-ㇿ㐀-䶿一-鿿豈-﫿\x{20000}-\x{3FFFF}"
+LETTERS = rf"(?:[\p{{L}}\p{{M}}&&[\x00-෿]]++|[\p{{L}}\p{{M}}&&[^\x00-෿{UNSPACED}]])++"
+TOKEN = LETTERS + rf"|[0-9]+(?:[.,][0-9]+)*|[.!?:;\n%€$£]|[\p{{L}}&&[{UNSPACED}]]\p{{M}}*"
 MARKS, SIGNS = (".", "!", "?", ":", ";", "\n", "%", "€", "$", "£"), ("%", "€", "$", "£")
 NUMBER, UNIT, NAME = "#n", "#u", "#p"
 
@@ -60,6 +63,18 @@ def with_templates(df: DataFrame, written: bool = False) -> DataFrame:
     return out.select(*rest, F.filter("_c", lambda x: x != "").alias("c"), *more)
 
 
+def with_variants(items: DataFrame) -> DataFrame:
+    """``items`` (item_id, text) as no, item_id, c, w; an item that begins with a capitalised word comes twice, with that word as it stands and as a name.
+
+    Where a sentence begins such a word says nothing, and within a document's sentence it reads as a name.
+    """
+    word = F.regexp_extract("text", r"[\p{L}\p{M}]+", 0)
+    out = with_templates(items.select("item_id", "text", F.when(word.rlike(r"^\p{Lu}\p{Ll}+$"), F.lower(word)).alias("begin")), written=True)
+    named = F.when(F.get("c", F.lit(0)) == F.col("begin"), F.concat(F.array(F.lit(NAME)), F.slice("c", 2, F.greatest(F.size("c"), F.lit(1)))))
+    forms = F.filter(F.array(F.col("c"), named), lambda c: c.isNotNull())
+    return out.select("item_id", F.explode(forms).alias("c"), "w").select(F.monotonically_increasing_id().alias("no"), "item_id", "c", "w")
+
+
 def windows(width: int, step: int) -> Column:
     """(at, h): places 1, 1 + step, ... of the windows of ``width`` tokens of ``c``, and their hashes."""
     last = F.size("c") - width + 1
@@ -73,16 +88,16 @@ def small(df: DataFrame) -> DataFrame:
 
 
 def rarer(items: DataFrame, docs: DataFrame, coverage: float) -> DataFrame:
-    """item_id, item_at, h: the rarest n - m + VOTES of the n tokens of each item, m being the least number that has to agree.
+    """no, item_at, h: the rarest n - m + VOTES of the n tokens of each item, m being the least number that has to agree.
 
     Only m - VOTES tokens are outside, so of m that agree at least VOTES are inside.
     """
     tokens = lambda df, *cols: df.select(*cols, F.posexplode("c").alias("item_at", "t"))
-    often = tokens(docs.sample(SAMPLE, 1)).groupBy("t").agg(F.count("*").alias("often"))
+    often = tokens(with_templates(docs.sample(SAMPLE, 1))).groupBy("t").agg(F.count("*").alias("often"))
     n = items.where(F.size("c") >= SHORTEST).withColumn("n", F.size("c"))
-    known = tokens(n, "item_id", "n").join(often, "t", "left")
-    rank = F.row_number().over(Window.partitionBy("item_id").orderBy(F.coalesce("often", F.lit(0)), "item_at"))
-    return known.withColumn("rank", rank).where(F.col("rank") <= F.col("n") - least(F.col("n"), coverage) + VOTES).select("item_id", (F.col("item_at") + 1).alias("item_at"), F.xxhash64("t").alias("h"))
+    known = tokens(n, "no", "n").join(often, "t", "left")
+    rank = F.row_number().over(Window.partitionBy("no").orderBy(F.coalesce("often", F.lit(0)), "item_at"))
+    return known.withColumn("rank", rank).where(F.col("rank") <= F.col("n") - least(F.col("n"), coverage) + VOTES).select("no", (F.col("item_at") + 1).alias("item_at"), F.xxhash64("t").alias("h"))
 
 
 def least(n: Column, coverage: float) -> Column:
@@ -90,15 +105,15 @@ def least(n: Column, coverage: float) -> Column:
     return F.greatest(F.lit(SHORTEST), F.ceil(n * coverage - 1e-9).cast("int"))
 
 
-def hits(docs: DataFrame, items: DataFrame, coverage: float) -> DataFrame:
-    """doc_id, item_id, shift: alignments (document place minus item place) with a common window or VOTES common tokens of the rarer ones."""
-    whole = items.where(F.size("c") >= RUN).select("item_id", F.explode(windows(WINDOW, 1)).alias("x"))
-    known = whole.select("item_id", F.col("x.at").alias("item_at"), F.col("x.h").alias("h"), F.lit(VOTES).alias("votes"))
-    known = known.union(rarer(items, docs, coverage).withColumn("votes", F.lit(1)))
+def hits(docs: DataFrame, items: DataFrame, coverage: float, scratch: Scratch) -> DataFrame:
+    """doc_id, no, shift: alignments (document place minus item place) with a common window or VOTES common tokens of the rarer ones."""
+    whole = items.where(F.size("c") >= RUN).select("no", F.explode(windows(WINDOW, 1)).alias("x"))
+    known = whole.select("no", F.col("x.at").alias("item_at"), F.col("x.h").alias("h"), F.lit(VOTES).alias("votes"))
+    known = scratch.keep(known.union(rarer(items, docs, coverage).withColumn("votes", F.lit(1))), "known")
     single = F.transform("c", lambda t, k: F.struct((k + 1).alias("at"), F.xxhash64(t).alias("h")))
-    places = docs.select("doc_id", F.explode(F.concat(windows(WINDOW, STEP), single)).alias("x"))
+    places = with_templates(docs).select("doc_id", F.explode(F.concat(windows(WINDOW, STEP), single)).alias("x"))
     found = places.select("doc_id", "x.at", "x.h").join(small(known), "h")
-    votes = found.groupBy("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).agg(F.sum("votes").alias("votes"))
+    votes = found.groupBy("doc_id", "no", (F.col("at") - F.col("item_at")).alias("shift")).agg(F.sum("votes").alias("votes"))
     return votes.where(F.col("votes") >= VOTES).drop("votes")
 
 
@@ -112,14 +127,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     common to tell and never reported; rows that repeat an id are read together; other columns are ignored.
     """
     scratch = Scratch(docs.sparkSession, "decontaminate")
-    items = scratch.keep(with_templates(benchmark.select("item_id", "text"), written=True), "items")
+    items = scratch.keep(with_variants(benchmark), "items")
     read = docs.select("doc_id", "text")
-    found = scratch.keep(hits(with_templates(read), items, coverage), "hits")
-    per_doc = found.groupBy("doc_id").agg(F.collect_set(F.struct("item_id", "shift")).alias("pairs"))
+    found = scratch.keep(hits(read, items, coverage, scratch), "hits")
+    per_doc = found.groupBy("doc_id").agg(F.collect_set(F.struct("no", "shift")).alias("pairs"))
     per_doc = small(per_doc).alias("p")
     d = read.alias("d").join(per_doc, F.col("d.doc_id").eqNullSafe(F.col("p.doc_id"))).select("d.doc_id", "d.text", "p.pairs")
     d = with_templates(d, written=True).select("doc_id", F.col("c").alias("dc"), F.col("w").alias("dw"), F.explode("pairs").alias("pair")).select("doc_id", "dc", "dw", "pair.*")
-    both = d.join(small(items), "item_id")
+    both = d.join(small(items), "no")
     at = lambda name, j: F.when(j + F.col("shift") > 0, F.get(name, j + F.col("shift") - 1))
     pairs = F.transform(F.sequence(F.lit(1), F.size("c")), lambda j: F.struct(
         F.coalesce(F.get("c", j - 1) == at("dc", j), F.lit(False)).alias("same"), F.get("c", j - 1).startswith("#").alias("slot"),

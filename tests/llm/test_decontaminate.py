@@ -41,3 +41,19 @@ def test_edited_copies_equal_all_alignments(spark):
     expected = {(d, i): n for d, doc in enumerate(docs) for i, item in enumerate(items) if (n := agreeing(doc, item)) >= max(4, len(item.split()) / 2)}
     got = found(spark, docs, items)
     assert expected and {k: x.n_matched for k, x in got.items()} == expected
+
+
+def test_short_items_with_an_edit_after_other_words_and_in_unspaced_scripts(spark):
+    items = ["What is the capital of France today", "水の都と呼ばれる街はどこですか", "ประเทศไทยมีกี่จังหวัด", "Who wrote Faust"]
+    same = ["He asked what is the capital of France today", *[f"He {x} What is the capital of France today" for x in ("asked", "asked,", 'said "', "said (")]]
+    edited = ["He asked, What is the capital of France now", "What was the capital of France today"]
+    docs = [*same, *edited, "問題:水の都と呼ばれる町はどこですか。", "ถามว่าประเทศไทยมีกี่จังหวัดครับ", "Capital is a word and France another"]
+    got = found(spark, docs, items)
+    assert set(got) == {*[(k, 0) for k in range(7)], (7, 1), (8, 2)}
+    assert all(got[k, 0].coverage == 1.0 for k in range(5)) and got[5, 0].n_matched == 6 and got[7, 1].n_matched == 14
+
+
+def test_rows_that_repeat_an_item_id_are_items_of_their_own(spark):
+    docs = spark.createDataFrame([(1, "so it goes: seven brave words stand here alone")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "other things nobody wrote down anywhere"), (None, "seven brave words stand here")], "item_id long, text string")
+    assert [(r.item_id, r.coverage) for r in decontaminate.contaminated(docs, items).collect()] == [(None, 1.0)]
