@@ -17,8 +17,8 @@ from . import piece_model
 from .common import by_bytes, small_batches, tidy
 
 MODEL = "piece_bpe_32k.model"
-#: One text in so many, by crc32, is also encoded by the sentencepiece library and compared.
-PARITY_ONE_IN = 8
+#: One text in so many, by crc32, is also encoded by the sentencepiece library and compared: all of them.
+PARITY_ONE_IN = 1
 
 
 @lru_cache(maxsize=4)
@@ -31,8 +31,8 @@ def encode(docs: DataFrame, model_path: str | None = None, parity_one_in: int =
 
     ids are those of the whole text without begin and end tokens; ids_sha256 digests them as
     little-endian int32.  ``round_trip``: decoding gives the text back (false where the model's
-    normaliser rewrites it, and where it holds the marker itself, which reads as a space).  ``parity``: equal to the sentencepiece library's ids, null where not
-    compared; texts are chosen for that by content, not by place.  Null and empty texts have no
+    normaliser rewrites it, and where it holds the marker itself, which reads as a space).  ``parity``: the backend's ids equal the sentencepiece library's, null where not
+    compared; all texts are compared unless ``parity_one_in`` says otherwise, which chooses by content, not by place.  Where ids differ, those of the library are returned.  Null and empty texts have no
     tokens and are compared like others; repeated rows are encoded each; other columns are
     ignored; an empty table gives no rows.  Each task encodes slices of about 1 MB on all of the library's threads.
     """
@@ -46,11 +46,13 @@ def encode(docs: DataFrame, model_path: str | None = None, parity_one_in: int =
             rows = []
             for part in by_bytes(texts):
                 found = [e.ids for e in tok.encode_batch_fast(part, add_special_tokens=False)]
-                back = tok.decode_batch(found, skip_special_tokens=False)
                 chosen = [k for k, t in enumerate(part) if zlib.crc32(t.encode()) % parity_one_in == 0]
                 same = dict(zip(chosen, ref.encode([part[k] for k in chosen], num_threads=1), strict=True))
-                for k, (text, ids) in enumerate(zip(part, found, strict=True)):
-                    rows.append((len(ids), hashlib.sha256(np.array(ids, "<i4").tobytes()).hexdigest(), back[k] == text, same[k] == ids if k in same else None, ids))
+                parity = [same[k] == ids if k in same else None for k, ids in enumerate(found)]
+                found = [same.get(k, ids) for k, ids in enumerate(found)]
+                back = tok.decode_batch(found, skip_special_tokens=False)
+                for text, ids, equal, again in zip(part, found, parity, back, strict=True):
+                    rows.append((len(ids), hashlib.sha256(np.array(ids, "<i4").tobytes()).hexdigest(), again == text, equal, ids))
             out = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "round_trip", "parity", "ids"])
             out["parity"] = out["parity"].astype("boolean")
             out.insert(0, "doc_id", batch["doc_id"].to_numpy() if batch["doc_id"].notna().all() else batch["doc_id"].astype("Int64"))

@@ -130,3 +130,8 @@ def test_registered_names():
     names = set(entry.queries())
     assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
     assert corpus_pipeline.ORACLE_SQL is None and [n for n, _ in corpus_pipeline.STAGES]
+
+
+def test_every_text_is_compared_with_the_library(spark):
+    got = sentence_pieces.query(spark, SF).collect()
+    assert len(got) >= 200 and all(r.parity is True for r in got)
