@@ -92,7 +92,9 @@ def rarer(items: DataFrame, docs: DataFrame, coverage: float) -> DataFrame:
 
     Only m - VOTES tokens are outside, so of m that agree at least VOTES are inside.
     """
-    tokens = lambda df, *cols: df.select(*cols, F.posexplode("c").alias("item_at", "t"))
+    # not posexplode(c): Spark would infer a filter on c and compute c's steps within each other there
+    each = F.explode(F.transform("c", lambda t, k: F.struct(k.alias("item_at"), t.alias("t")))).alias("x")
+    tokens = lambda df, *cols: df.select(*cols, each).select(*cols, "x.*")
     often = tokens(with_templates(docs.sample(SAMPLE, 1))).groupBy("t").agg(F.count("*").alias("often"))
     n = items.where(F.size("c") >= SHORTEST).withColumn("n", F.size("c"))
     known = tokens(n, "no", "n").join(often, "t", "left")
