@@ -1,9 +1,9 @@
-"""N-gram Jaccard join by a MinHash LSH forest with exact verification.
+"""N-gram Jaccard join by MinHash banding of fixed depth, in place of an LSH forest, with exact verification.
 
 Texts with the same set of word n-grams are one class.  Each class has a MinHash signature cut into the
-labels of ``TREES`` prefix tries.  Two classes are candidates if their labels agree, in any tree, in a prefix whose
-length is shortened from the full depth until the modelled recall at the threshold reaches its target.
-Sub-tries that hold several classes are split into blocks of bounded size and compared block by block on
+labels of ``TREES`` bands.  Two classes are candidates if they agree in any whole band, whose depth is the greatest at
+which the modelled recall at the threshold reaches its target; it follows from constants, so no tries are descended.
+Bands' buckets that hold several classes are split into blocks of bounded size and compared block by block on
 signature sketches; classes that hang together in this way form clusters.  Inside a cluster all classes
 are compared exactly, again block by block, and only counts and a spanning forest leave a block, never its pairs.
 """
