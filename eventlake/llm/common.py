@@ -130,6 +130,24 @@ def components(scratch: Scratch, edges: DataFrame, name: str, max_rounds: int =
     return now.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("root"))
 
 
+#: A group that holds over one row in so many is hot: its rows are salted, so there are fewer hot groups than this.
+HOT = 1000
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int, by: str) -> DataFrame:
+    """Inner join of ``rows`` with one row a group, ``size`` rows each of ``total`` in all, that leaves no task a hot group.
+
+    Rows of a hot group are dealt by their column ``by`` to as many salts as the group has thousandths of all rows, and the group's row
+    is repeated for each.  Keys must not be null.  Fewer than ``HOT`` keys are broadcast.
+    """
+    limit = max(1, total // HOT)
+    groups = groups.withColumn("_parts", F.ceil(F.col(size) / limit).cast("int"))
+    hot = F.broadcast(groups.where(F.col(size) > limit).select(*keys, "_parts"))
+    dealt = rows.join(hot, keys, "left").withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(by), F.col("_parts")).cast("int"), F.lit(0))).drop("_parts")
+    each = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.when(F.col(size) > limit, F.col("_parts") - 1).otherwise(0)))).drop("_parts")
+    return dealt.join(each, [*keys, "_salt"]).drop("_salt")
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once a context; they may lack it on their path."""
     sc = spark.sparkContext

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -13,7 +14,7 @@ from brute import DOCS, ODD
 from pyspark.sql import functions as F
 
 from eventlake.llm import exact_dedup, near_dedup, repeats, sharding
-from eventlake.llm.common import Scratch, clean_scratch, components
+from eventlake.llm.common import Scratch, clean_scratch, components, join_groups
 
 SF = "/root/testdata/sf0.001"
 
@@ -189,3 +190,27 @@ def test_scratch_tables_can_be_deleted(spark):
     assert scratch.keep(spark.range(3), "t").count() == 3
     at = Path(scratch.root.removeprefix("file://"))
     assert at.exists() and clean_scratch(spark) > 0 and not at.exists()
+
+
+def test_long_texts_are_cut_in_linear_time(spark):
+    text = "".join(f"w{k} " for k in range(700_000))
+    df = spark.createDataFrame([(1, text), (2, text + " "), (3, text[:-3]), (4, "x")], "doc_id long, text string")
+    began = time.monotonic()
+    got = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_duplicates(df).collect()}
+    assert got == {1: (2, 2, False), 2: (2, 2, True), 3: (3, 1, True), 4: (4, 1, True)}
+    assert time.monotonic() - began < 120  # a walk to each block from the text's start takes far longer
+
+
+def test_rows_of_hot_groups_are_dealt_to_many_tasks(spark):
+    rows = spark.range(30_000).select(F.col("id"), F.when(F.col("id") < 10_000, 7).otherwise(F.col("id")).alias("g"))
+    groups = rows.groupBy("g").agg(F.count("*").alias("n"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = join_groups(rows, groups, ["g"], "n", 30_000, "id")
+        sizes = [r[1] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 30_000 == out.distinct().count() and max(sizes) < 1.5 * 30_000 / 4
+        assert out.where("g = 7").select("n").distinct().collect() == [(10_000,)]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
