@@ -102,18 +102,37 @@ def runs(values: np.ndarray) -> Iterator[tuple[int, int]]:
         yield from zip([0, *cuts.tolist()], [*cuts.tolist(), len(values)], strict=True)
 
 
-def components(scratch: Scratch, edges: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
+#: A group that holds over one row in so many is hot: its rows are salted, so there are fewer hot groups than this.
+HOT = 1000
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int, by: str) -> DataFrame:
+    """Inner join of ``rows`` with one row a group, ``size`` rows each of ``total`` in all, that leaves no task a hot group.
+
+    Rows of a hot group are dealt by their column ``by`` to as many salts as the group has thousandths of all rows, and the group's row
+    is repeated for each.  Keys must not be null.  Fewer than ``HOT`` keys are broadcast.
+    """
+    limit = max(1, total // HOT)
+    groups = groups.withColumn("_parts", F.ceil(F.col(size) / limit).cast("int"))
+    hot = F.broadcast(groups.where(F.col(size) > limit).select(*keys, "_parts"))
+    dealt = rows.join(hot, keys, "left").withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(by), F.col("_parts")).cast("int"), F.lit(0))).drop("_parts")
+    each = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.when(F.col(size) > limit, F.col("_parts") - 1).otherwise(0)))).drop("_parts")
+    return dealt.join(each, [*keys, "_salt"]).drop("_salt")
+
+
+def components(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
     """(id, root): the least id connected with each id of ``edges`` (a, b long), by alternating large-star and small-star steps.
 
-    Each step is a shuffle of the edge list; what comes to the driver is one sum a round.
+    Each step is a shuffle of the edge list, in which the edges of a hub are dealt to many tasks; what comes to the driver is one sum a round.
+    Rounds go on until one changes nothing; every one lessens some end of an edge, so there is a last.
     """
     now = scratch.keep(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{name}0")
-    before, k = None, 0
-    while k < max_rounds:
+    before, k, n = None, 0, now.count()
+    while True:
         both = now.union(now.select("b", "a"))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n")
         # large star: every greater neighbour is linked to the least of the neighbourhood
-        big = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        big = join_groups(both, least, ["a"], "n", 2 * n, "b").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         big = big.distinct()
         # small star: the node itself and its lesser neighbours are linked to the least of these
         low = big.groupBy("a").agg(F.min("b").alias("m"))
@@ -124,30 +143,10 @@ def components(scratch: Scratch, edges: DataFrame, name: str, max_rounds: int =
         sums = now.agg(F.count("*"), F.sum(F.hash("a", "b").cast("long"))).first()
         if sums == before:
             break
-        before = sums
-    else:
-        raise RuntimeError("components did not converge")
+        before, n = sums, sums[0]
     return now.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("root"))
 
 
-#: A group that holds over one row in so many is hot: its rows are salted, so there are fewer hot groups than this.
-HOT = 1000
-
-
-def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int, by: str) -> DataFrame:
-    """Inner join of ``rows`` with one row a group, ``size`` rows each of ``total`` in all, that leaves no task a hot group.
-
-    Rows of a hot group are dealt by their column ``by`` to as many salts as the group has thousandths of all rows, and the group's row
-    is repeated for each.  Keys must not be null.  Fewer than ``HOT`` keys are broadcast.
-    """
-    limit = max(1, total // HOT)
-    groups = groups.withColumn("_parts", F.ceil(F.col(size) / limit).cast("int"))
-    hot = F.broadcast(groups.where(F.col(size) > limit).select(*keys, "_parts"))
-    dealt = rows.join(hot, keys, "left").withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(by), F.col("_parts")).cast("int"), F.lit(0))).drop("_parts")
-    each = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.when(F.col(size) > limit, F.col("_parts") - 1).otherwise(0)))).drop("_parts")
-    return dealt.join(each, [*keys, "_salt"]).drop("_salt")
-
-
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once a context; they may lack it on their path."""
     sc = spark.sparkContext

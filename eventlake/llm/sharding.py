@@ -51,17 +51,19 @@ def numbered(df: DataFrame, scratch: Scratch, order: list[str]) -> tuple[DataFra
     return out.drop("_mid", "_part", "_at", "_before"), placed.count()
 
 
-def keyed(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """doc_id, text and a unique long ``key`` in the order of doc_id.
+def keyed(docs: DataFrame, scratch: Scratch, whole: bool = False) -> DataFrame:
+    """doc_id, text and a unique long ``key`` in the order of doc_id; ``whole``: also ``_row``, a struct of all columns.
 
     The key is doc_id itself unless one repeats or is null; then it is the row number by doc_id and
     the text's crc32, nulls first.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    row = [F.struct(*[docs[c] for c in docs.columns]).alias("_row")] if whole else []
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *row)
     if not docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").limit(1).count():
         return docs.withColumn("key", F.col("doc_id"))
     crc = F.crc32(F.coalesce("text", F.lit("")))
-    return numbered(docs.withColumn("_crc", crc), scratch, ["doc_id", "_crc"])[0].select("doc_id", "text", F.col("row_number").alias("key"))
+    columns = ["doc_id", "text", *["_row"] * whole]
+    return numbered(docs.withColumn("_crc", crc), scratch, ["doc_id", "_crc"])[0].select(*columns, F.col("row_number").alias("key"))
 
 
 def shard_rows(docs: DataFrame, shards: int = 16, seed: int = 0) -> DataFrame:

@@ -79,6 +79,38 @@ def test_a_large_group_of_near_copies_is_compared_in_blocks(spark, monkeypatch):
     assert {x.doc_id: (x.class_id, x.n_links) for x in got} == brute.near(rows)
 
 
+def test_crowded_prefixes_of_texts_that_differ(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 6)
+    r = random.Random(2)
+    shared = [f"s{k}" for k in range(90)]
+    # two thirds of the shingles are common to all, which crowds prefixes; few pairs are similar
+    rows = [(k, " ".join(shared + [f"o{k}x{i}" for i in range(45)])) for k in range(80)]
+    rows += [(100 + k, t.replace(f"o{k}x{r.randint(5, 40)}", "changed")) for k, t in rows[:30]]
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {x.doc_id: (x.class_id, x.n_links) for x in got} == brute.near(rows)
+
+
+def test_recall_of_pairs_at_the_threshold(spark):
+    r = random.Random(5)
+    rows = []
+    for k in range(400):
+        words = [f"p{k}w{i}" for i in range(r.randint(60, 200))]
+        cut = round(len(words) * r.uniform(0.15, 0.2) / 2)  # the ends differ: similarity is 0.8 to 0.85 or just below 0.8
+        rows += [(2 * k, " ".join(words + [f"a{k}x{i}" for i in range(cut)])), (2 * k + 1, " ".join(words + [f"b{k}x{i}" for i in range(cut)]))]
+    expected = brute.near(rows)
+    pairs = sum(n for _, n in expected.values())
+    got = {x.doc_id: (x.class_id, x.n_links) for x in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert pairs > 300 and sum(n for _, n in got.values()) >= 0.995 * pairs
+    assert all(n <= expected[d][1] for d, (_, n) in got.items())
+
+
+def test_a_repeated_id_doesn_t_keep_a_copy(spark):
+    a, b = "one two three four five six seven", "quite another text with other words in it"
+    df = spark.createDataFrame([(1, a, "x"), (7, a, "y"), (7, b, "z"), (None, b, "n"), (None, "third " * 9, "m")], "doc_id long, text string, key string")
+    got = near_dedup.stage(spark, df, SF)
+    assert got.columns == df.columns and {r.key for r in got.collect()} in ({"x", "n", "m"}, {"x", "z", "m"})
+
+
 def test_near_odd_rows_and_depths(spark):
     got = sorted((str(r.doc_id), r.n_links, r.class_size) for r in near_dedup.near_duplicates(odd(spark)).collect())
     assert got == sorted([("5", 0, 1), ("3", 0, 1), ("4", 0, 1), ("None", 0, 1), ("9", 0, 1), ("7", 2, 3), ("7", 2, 3), ("8", 2, 3), ("2", 0, 1), ("10", 1, 2), ("-1", 1, 2)])
