@@ -1,9 +1,10 @@
 """Benchmark decontamination by template canonicalisation (DataFrame and SQL functions only).
 
 Numbers, units after numbers, and names become typed placeholders, so a question asked again with other values
-keeps its template.  Template windows of documents are hash-joined with those of benchmark items, which finds
-unbroken runs; single tokens are joined with the rarer ones of each item, enough of them that every alignment of the
-coverage asked for has ``VOTES`` hits, wherever its edits are.  Each alignment found is checked: all tokens of the
+keeps its template.  The smallest template windows, pairs of tokens that are neighbours or have one token between them, at
+all places of all documents are hash-joined with those of the items: an alignment along which half of an item agrees
+has many such pairs in common, wherever its edits are.  Each item looks up its rarer pairs, as counted over all documents, as many as
+leave ``VOTES`` on every such alignment.  Each alignment found is checked: all tokens of the
 item are compared and the values of its slots too: one value of the item has to stand for one value in the document and the other way round.
 """
 
@@ -12,20 +13,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, join_groups
+from .sharding import keyed
 
-#: Words of a window, and the step between windows of a document: a common run of WINDOW + STEP - 1 tokens holds an aligned window.
-WINDOW, STEP = 6, 8
-RUN = WINDOW + STEP - 1
-COVERAGE = 0.5
+#: Distances of the two tokens of a pair.
+GAPS = (1, 2)
+#: So many agreeing tokens in a row, or so large a part of an item, count as holding it.
+RUN, COVERAGE = 13, 0.5
 #: Least tokens of an item.
 SHORTEST = 4
-#: Common tokens along an alignment that make it a candidate; a common window counts as so many.
+#: Common pairs that make an alignment a candidate.
 VOTES = 3
-#: Part of the documents in which tokens are counted, to tell rare from common ones; it has no say in the result.
-SAMPLE = 1 / 64
-#: Rows of a side that may be broadcast (under 50 bytes each).
-MAX_BROADCAST = 1_000_000
+#: Bytes of a side that may be broadcast.
+MAX_BROADCAST = 64 << 20
 #: Units that make a slot after a number.
 UNITS = "km m cm mm mi ft kg g mg lb oz t l ml s sec ms min h hr hour hours minute minutes second seconds day days week weeks month months year years percent eur usd dollars euros cents mph kmh w kw v a hz mb gb tb"
 #: Thai, Lao, Myanmar, Khmer, kana and Han, written without spaces: each character is a token.  Ranges are matched faster than scripts.
@@ -63,8 +63,8 @@ def with_templates(df: DataFrame, written: bool = False) -> DataFrame:
     return out.select(*rest, F.filter("_c", lambda x: x != "").alias("c"), *more)
 
 
-def with_variants(items: DataFrame) -> DataFrame:
-    """``items`` (item_id, text) as no, item_id, c, w; an item that begins with a capitalised word comes twice, with that word as it stands and as a name.
+def with_forms(items: DataFrame) -> DataFrame:
+    """``items`` (item_id, text) as no, item_id, n (tokens), forms, w; an item that begins with a capitalised word has two forms, with that word as it stands and as a name.
 
     Where a sentence begins such a word says nothing, and within a document's sentence it reads as a name.
     """
@@ -72,34 +72,24 @@ def with_variants(items: DataFrame) -> DataFrame:
     out = with_templates(items.select("item_id", "text", F.when(word.rlike(r"^\p{Lu}\p{Ll}+$"), F.lower(word)).alias("begin")), written=True)
     named = F.when(F.get("c", F.lit(0)) == F.col("begin"), F.concat(F.array(F.lit(NAME)), F.slice("c", 2, F.greatest(F.size("c"), F.lit(1)))))
     forms = F.filter(F.array(F.col("c"), named), lambda c: c.isNotNull())
-    return out.select("item_id", F.explode(forms).alias("c"), "w").select(F.monotonically_increasing_id().alias("no"), "item_id", "c", "w")
+    return out.select(F.monotonically_increasing_id().alias("no"), "item_id", F.size("c").alias("n"), forms.alias("forms"), "w")
 
 
-def windows(width: int, step: int) -> Column:
-    """(at, h): places 1, 1 + step, ... of the windows of ``width`` tokens of ``c``, and their hashes."""
-    last = F.size("c") - width + 1
-    at = F.when(last >= 1, F.sequence(F.lit(1), F.greatest(last, F.lit(1)), F.lit(step))).otherwise(F.array().cast("array<int>"))
-    return F.transform(at, lambda p: F.struct(p.alias("at"), F.xxhash64(F.slice("c", p, width)).alias("h")))
+def small(df: DataFrame, width: Column) -> DataFrame:
+    """``df``, marked for broadcast if its rows, ``width`` bytes each, are within the bound; otherwise Spark joins it by a shuffle."""
+    return F.broadcast(df) if (df.agg(F.sum(width)).first()[0] or 0) <= MAX_BROADCAST else df
 
 
-def small(df: DataFrame) -> DataFrame:
-    """``df``, marked for broadcast if it has few rows; otherwise Spark joins it by a shuffle."""
-    return F.broadcast(df) if df.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST else df
-
-
-def rarer(items: DataFrame, docs: DataFrame, coverage: float) -> DataFrame:
-    """no, item_at, h: the rarest n - m + VOTES of the n tokens of each item, m being the least number that has to agree.
-
-    Only m - VOTES tokens are outside, so of m that agree at least VOTES are inside.
-    """
-    # not posexplode(c): Spark would infer a filter on c and compute c's steps within each other there
-    each = F.explode(F.transform("c", lambda t, k: F.struct(k.alias("item_at"), t.alias("t")))).alias("x")
-    tokens = lambda df, *cols: df.select(*cols, each).select(*cols, "x.*")
-    often = tokens(with_templates(docs.sample(SAMPLE, 1))).groupBy("t").agg(F.count("*").alias("often"))
-    n = items.where(F.size("c") >= SHORTEST).withColumn("n", F.size("c"))
-    known = tokens(n, "no", "n").join(often, "t", "left")
-    rank = F.row_number().over(Window.partitionBy("no").orderBy(F.coalesce("often", F.lit(0)), "item_at"))
-    return known.withColumn("rank", rank).where(F.col("rank") <= F.col("n") - least(F.col("n"), coverage) + VOTES).select("no", (F.col("item_at") + 1).alias("item_at"), F.xxhash64("t").alias("h"))
+def pairs(df: DataFrame, tokens: str) -> DataFrame:
+    """``df`` with ``at`` (from 1) and ``h`` for each pair of ``tokens``, in their place; a pair that reaches over the end has a hash of its own."""
+    rest = [x for x in df.columns if x != tokens]
+    # Hashes once, then rows one by one in generated code.  No filter here: Spark would compute the steps of the tokens within each other for it.
+    out = df.select(*rest, F.transform(tokens, lambda t: F.xxhash64(t)).alias("_t"))
+    places = F.when(F.size("_t") > 1, F.sequence(F.lit(1), F.size("_t") - 1)).otherwise(F.array().cast("array<int>"))
+    out = out.select(*rest, "_t", F.explode(places).alias("at"))
+    out = out.select(*rest, "_t", "at", F.explode(F.array(*map(F.lit, GAPS))).alias("gap"))
+    second = F.get("_t", F.col("at") - 1 + F.col("gap"))
+    return out.select(*rest, "at", "gap", F.xxhash64(F.get("_t", F.col("at") - 1), F.coalesce(second, F.lit(0)), "gap").alias("h"))
 
 
 def least(n: Column, coverage: float) -> Column:
@@ -107,16 +97,71 @@ def least(n: Column, coverage: float) -> Column:
     return F.greatest(F.lit(SHORTEST), F.ceil(n * coverage - 1e-9).cast("int"))
 
 
+def sure(n: Column, coverage: float) -> Column:
+    """Pairs in common along every alignment that holds an item of n tokens.
+
+    m tokens that agree have m - 1 distances, n - 1 in all; if k of them are 1 or 2, the others are 3 at least: k + 3 (m - 1 - k) <= n - 1.
+    A run of RUN has a pair at each of its tokens but the last for either distance, less one.
+    """
+    k = F.greatest(F.lit(1), F.ceil((3 * least(n, coverage) - n - 2) / 2).cast("int"))
+    return F.when(n > 2 * RUN, F.least(k, F.lit(2 * RUN - 3))).otherwise(k)
+
+
 def hits(docs: DataFrame, items: DataFrame, coverage: float, scratch: Scratch) -> DataFrame:
-    """doc_id, no, shift: alignments (document place minus item place) with a common window or VOTES common tokens of the rarer ones."""
-    whole = items.where(F.size("c") >= RUN).select("no", F.explode(windows(WINDOW, 1)).alias("x"))
-    known = whole.select("no", F.col("x.at").alias("item_at"), F.col("x.h").alias("h"), F.lit(VOTES).alias("votes"))
-    known = scratch.keep(known.union(rarer(items, docs, coverage).withColumn("votes", F.lit(1))), "known")
-    single = F.transform("c", lambda t, k: F.struct((k + 1).alias("at"), F.xxhash64(t).alias("h")))
-    places = with_templates(docs).select("doc_id", F.explode(F.concat(windows(WINDOW, STEP), single)).alias("x"))
-    found = places.select("doc_id", "x.at", "x.h").join(small(known), "h")
-    votes = found.groupBy("doc_id", "no", (F.col("at") - F.col("item_at")).alias("shift")).agg(F.sum("votes").alias("votes"))
-    return votes.where(F.col("votes") >= VOTES).drop("votes")
+    """key, no, n, shift: alignments (document place minus item place) with ``VOTES`` common pairs among the rarer ones of the item, or all that it is sure to have."""
+    forms = items.select("no", "n", F.explode("forms").alias("c"))
+    known = pairs(forms, "c").where(F.col("at") + F.col("gap") <= F.col("n")).select("no", "n", F.col("at").alias("item_at"), "h").distinct()
+    known = scratch.keep(known, "known")
+    wanted = known.select("h").distinct()
+    found = pairs(with_templates(docs.select("key", "text")), "c").select("key", "at", "h").join(small(wanted, F.lit(32)), "h", "left_semi")
+    found = scratch.keep(found, "pairs")
+    often = scratch.keep(found.groupBy("h").agg(F.count("*").alias("often")), "often")
+    # an item looks up all its pairs but the most frequent ones, of which it can spare what it is sure to have beyond the votes
+    rank = F.row_number().over(Window.partitionBy("no").orderBy(F.desc("often"), "item_at", "h"))
+    votes = F.least(F.lit(VOTES), sure(F.col("n"), coverage))
+    asked = known.join(often, "h").withColumns({"rank": rank, "votes": votes}).where(F.col("rank") > sure(F.col("n"), coverage) - F.col("votes")).drop("rank")
+    asked = scratch.keep(asked, "asked")
+    if (asked.count() * 64) <= MAX_BROADCAST:
+        met = found.join(F.broadcast(asked.drop("often")), "h")
+    else:
+        lists = asked.groupBy("h").agg(F.first("often").alias("often"), F.collect_list(F.struct("no", "n", "item_at", "votes")).alias("at_items"))
+        met = join_groups(found, lists, ["h"], "often", found.count(), "key").select("key", "at", F.explode("at_items").alias("i")).select("key", "at", "i.*")
+    counted = met.groupBy("key", "no", "n", "votes", (F.col("at") - F.col("item_at")).alias("shift")).agg(F.count("*").alias("found"))
+    return counted.where("found >= votes").select("key", "no", "n", "shift")
+
+
+def held(docs: DataFrame, benchmark: DataFrame, coverage: float, scratch: Scratch) -> DataFrame:
+    """key, doc_id, item_id and the figures of ``contaminated`` for every alignment that holds an item; ``docs``: key, doc_id, text."""
+    if coverage < COVERAGE:
+        raise ValueError(f"pairs are sure to be found for a coverage of at least {COVERAGE}")
+    items = scratch.keep(with_forms(benchmark.select("item_id", "text")), "items").where(F.col("n") >= SHORTEST)
+    found = scratch.keep(hits(docs, items, coverage, scratch), "hits")
+    scratch.drop("pairs", "often", "known", "asked")
+    per_doc = scratch.keep(found.groupBy("key").agg(F.collect_list(F.struct("no", "n", "shift")).alias("places")), "places")
+    per_doc = small(per_doc, 32 + 24 * F.size("places"))
+    d = docs.join(per_doc, "key").select("key", "doc_id", "text", "places")
+    d = with_templates(d, written=True)
+    # of each document only what stands along the item, with nulls where it sticks out
+    skip = lambda p: F.greatest(-p["shift"], F.lit(0))
+    cut = lambda name, p: F.concat(F.array_repeat(F.lit(None).cast("string"), skip(p)), F.slice(name, F.greatest(p["shift"], F.lit(0)) + 1, F.greatest(p["n"] - skip(p), F.lit(0))))
+    along = F.transform("places", lambda p: F.struct(p["no"].alias("no"), p["shift"].alias("shift"), cut("c", p).alias("dc"), cut("w", p).alias("dw")))
+    d = d.select("key", "doc_id", F.explode(along).alias("p")).select("key", "doc_id", "p.*")
+    each = items.select("no", "item_id", F.explode("forms").alias("c"), "w")
+    both = d.join(small(each, 64 + 2 * (F.octet_length(F.array_join("w", "")) + 32 * F.size("w"))), "no")
+    compared = F.transform("c", lambda t, j: F.struct(
+        F.coalesce(t == F.get("dc", j), F.lit(False)).alias("same"), t.startswith("#").alias("slot"), F.get("w", j).alias("a"), F.get("dw", j).alias("b")))
+    both = both.select("key", "doc_id", "item_id", "shift", compared.alias("x"))
+    slots = F.filter("x", lambda p: p["slot"] & p["same"])
+    both = both.withColumn("slots", F.transform(slots, lambda p: F.struct(p["a"].alias("a"), p["b"].alias("b"))))
+    one_to_one = (F.size(F.array_distinct("slots")) == F.size(F.array_distinct("slots.a"))) & (F.size(F.array_distinct("slots")) == F.size(F.array_distinct("slots.b")))
+    agree = F.transform("x", lambda p: p["same"] & (~p["slot"] | F.col("fits")))
+    run = F.aggregate("agree", F.struct(F.lit(0).alias("now"), F.lit(0).alias("best")), lambda s, x: F.struct(
+        F.when(x, s["now"] + 1).otherwise(0).alias("now"), F.greatest(s["best"], F.when(x, s["now"] + 1).otherwise(0)).alias("best")), lambda s: s["best"])
+    judged = both.withColumn("fits", one_to_one).withColumn("agree", agree).select(
+        "key", "doc_id", "item_id", "shift", F.size("x").alias("n_tokens"), F.size(F.filter("agree", lambda a: a)).alias("n_matched"), run.alias("longest_run"),
+        F.exists("x", lambda p: p["same"] & p["slot"] & F.col("fits") & (p["a"] != p["b"])).alias("reparameterised"))
+    judged = scratch.keep(judged.withColumn("coverage", F.col("n_matched") / F.col("n_tokens")), "judged")
+    return judged.where((F.col("n_matched") >= least(F.col("n_tokens"), coverage)) | (F.col("longest_run") >= RUN))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
@@ -126,40 +171,25 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     placeholders agree only if the item's slot values map one to one to the document's.  ``reparameterised``:
     some value differs.  Per document and item the alignment with most agreeing tokens, then the least shift is
     reported.  Null and empty texts hold nothing; items of fewer than ``SHORTEST`` tokens are too
-    common to tell and never reported; rows that repeat an id are read together; other columns are ignored.
+    common to tell and never reported; of rows that repeat an id the best alignment is reported; other columns are ignored;
+    an empty table on either side gives no rows.
     """
     scratch = Scratch(docs.sparkSession, "decontaminate")
-    items = scratch.keep(with_variants(benchmark), "items")
-    read = docs.select("doc_id", "text")
-    found = scratch.keep(hits(read, items, coverage, scratch), "hits")
-    per_doc = found.groupBy("doc_id").agg(F.collect_set(F.struct("no", "shift")).alias("pairs"))
-    per_doc = small(per_doc).alias("p")
-    d = read.alias("d").join(per_doc, F.col("d.doc_id").eqNullSafe(F.col("p.doc_id"))).select("d.doc_id", "d.text", "p.pairs")
-    d = with_templates(d, written=True).select("doc_id", F.col("c").alias("dc"), F.col("w").alias("dw"), F.explode("pairs").alias("pair")).select("doc_id", "dc", "dw", "pair.*")
-    both = d.join(small(items), "no")
-    at = lambda name, j: F.when(j + F.col("shift") > 0, F.get(name, j + F.col("shift") - 1))
-    pairs = F.transform(F.sequence(F.lit(1), F.size("c")), lambda j: F.struct(
-        F.coalesce(F.get("c", j - 1) == at("dc", j), F.lit(False)).alias("same"), F.get("c", j - 1).startswith("#").alias("slot"),
-        F.get("w", j - 1).alias("a"), at("dw", j).alias("b")))
-    both = both.select("doc_id", "item_id", "shift", pairs.alias("x"))
-    slots = F.filter("x", lambda p: p["slot"] & p["same"])
-    both = both.withColumn("slots", F.transform(slots, lambda p: F.struct(p["a"].alias("a"), p["b"].alias("b"))))
-    one_to_one = (F.size(F.array_distinct("slots")) == F.size(F.array_distinct("slots.a"))) & (F.size(F.array_distinct("slots")) == F.size(F.array_distinct("slots.b")))
-    agree = F.transform("x", lambda p: p["same"] & (~p["slot"] | F.col("fits")))
-    run = F.aggregate("agree", F.struct(F.lit(0).alias("now"), F.lit(0).alias("best")), lambda s, x: F.struct(
-        F.when(x, s["now"] + 1).otherwise(0).alias("now"), F.greatest(s["best"], F.when(x, s["now"] + 1).otherwise(0)).alias("best")), lambda s: s["best"])
-    judged = both.withColumn("fits", one_to_one).withColumn("agree", agree).select(
-        "doc_id", "item_id", "shift", F.size("x").alias("n_tokens"), F.size(F.filter("agree", lambda a: a)).alias("n_matched"), run.alias("longest_run"),
-        F.exists("x", lambda p: p["same"] & p["slot"] & F.col("fits") & (p["a"] != p["b"])).alias("reparameterised"))
-    judged = judged.withColumn("coverage", F.col("n_matched") / F.col("n_tokens")).where((F.col("n_matched") >= least(F.col("n_tokens"), coverage)) | (F.col("longest_run") >= RUN))
+    judged = held(keyed(docs, scratch), benchmark, coverage, scratch)
     best = judged.groupBy("doc_id", "item_id").agg(F.max_by(F.struct("n_tokens", "n_matched", "longest_run", "coverage", "reparameterised"), F.struct("n_matched", -F.col("shift"), "longest_run")).alias("b"))
     return best.select("doc_id", "item_id", "b.*")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents that hold a benchmark item go."""
-    bad = small(contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.col("doc_id").alias("bad")).distinct())
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad"]), "left_anti").select(docs.columns)
+    """Pipeline stage: documents that hold a benchmark item go.
+
+    Rows are judged each by itself, so a clean row stays though another one of its doc_id, or another one without a doc_id, goes.  Null and empty
+    texts stay; extra columns and columns named like those used inside come through; an empty table stays empty.
+    """
+    scratch = Scratch(spark, "decontaminate-stage")
+    rows = keyed(docs, scratch, whole=True)
+    bad = scratch.keep(held(rows.select("key", "doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), COVERAGE, scratch).select("key").distinct(), "bad")
+    return rows.join(small(bad, F.lit(32)), "key", "left_anti").select("_row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

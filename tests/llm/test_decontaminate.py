@@ -1,6 +1,7 @@
 """Decontamination of slot-rich, edited and short items, at all places of a document."""
 
 import random
+from collections import defaultdict
 
 import pytest
 
@@ -57,3 +58,54 @@ def test_rows_that_repeat_an_item_id_are_items_of_their_own(spark):
     docs = spark.createDataFrame([(1, "so it goes: seven brave words stand here alone")], "doc_id long, text string")
     items = spark.createDataFrame([(None, "other things nobody wrote down anywhere"), (None, "seven brave words stand here")], "item_id long, text string")
     assert [(r.item_id, r.coverage) for r in decontaminate.contaminated(docs, items).collect()] == [(None, 1.0)]
+
+
+def test_problems_asked_again_and_items_of_numbers(spark):
+    items = ["Tom has 3 apples. Ann has 5 apples. How many apples do Tom and Ann have?", "Compute 12 + 45 * 3 - 7 / 2 then add 9 to it"]
+    docs = ["so: Max has 9 apples. Eva has 6 apples. How many apples do Max and Eva have? well", "now Compute 12 + 45 * 3 - 7 / 2 then add 9 to it please", "Max has 9 pears and 6 nuts."]
+    got = found(spark, docs, items)
+    assert set(got) == {(0, 0), (1, 1)} and got[0, 0].reparameterised and not got[1, 1].reparameterised
+
+
+def test_an_edited_passage_is_found_at_all_offsets(spark):
+    item = " ".join(f"word{chr(97 + k)}" for k in range(24))
+    copy = item.replace("wordh", "other").replace("wordq", "again")
+    got = found(spark, ["pad " * k + copy + " end" for k in range(16)], [item])
+    assert {k: x.n_matched for k, x in got.items()} == {(k, 0): 22 for k in range(16)}
+
+
+def test_pairs_equal_all_alignments_of_the_rule(spark):
+    """Every alignment of the canonical tokens of every document and item, judged in plain Python."""
+    sf = "/root/testdata/sf0.001"
+    docs, items = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "benchmark"))
+    read = decontaminate.with_templates(docs.select("doc_id", "text"), written=True).collect()
+    asked = decontaminate.with_forms(items.select("item_id", "text")).collect()
+    expected = {}
+    for item in asked:
+        for form in item.forms:
+            at = defaultdict(list)
+            for j, t in enumerate(form):
+                at[t].append(j)
+            for d in read:
+                agreeing = defaultdict(list)
+                for k, t in enumerate(d.c):
+                    for j in at.get(t, ()):
+                        agreeing[k - j].append(j)
+                for shift, same in agreeing.items():
+                    slots = {(item.w[j], d.w[j + shift]) for j in same if form[j].startswith("#")}
+                    fits = len(slots) == len({a for a, _ in slots}) == len({b for _, b in slots})
+                    good = {j for j in same if fits or not form[j].startswith("#")}
+                    run = any(all(j + i in good for i in range(decontaminate.RUN)) for j in good)
+                    if run or len(good) >= max(4, len(form) / 2):
+                        key = (d.doc_id, item.item_id)
+                        expected[key] = max(expected.get(key, 0), len(good))
+    got = {(r.doc_id, r.item_id): r.n_matched for r in decontaminate.query(spark, sf).collect()}
+    assert expected and got == expected
+
+
+def test_a_clean_row_that_shares_its_id_with_a_leaking_one_stays(spark):
+    item = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").where("length(text) > 100").first().text
+    df = spark.createDataFrame([(1, "clean text", "a"), (1, item, "b"), (None, item, "c"), (None, None, "d"), (2, "", "e")], "doc_id long, text string, key string")
+    got = decontaminate.stage(spark, df, "/root/testdata/sf0.001")
+    assert got.columns == df.columns and {r.key for r in got.collect()} == {"a", "d", "e"}
+    assert decontaminate.stage(spark, df.limit(0), "/root/testdata/sf0.001").count() == 0
