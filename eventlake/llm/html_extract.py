@@ -35,16 +35,59 @@ PARAGRAPH = frozenset(["p"])
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 #: Elements that an implied end doesn't reach over.
 SCOPE = frozenset("ul ol dl table article section div main aside nav header footer form body".split())
-MARKUP = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>|</?[a-zA-Z][^>]*>",
-    re.S | re.I,
-)
+TAG = re.compile(r"</?([a-zA-Z][a-zA-Z0-9:-]*)")
+#: Attributes up to the end of a tag, of a usual one and of one of code, in which a quoted value may hold any sign.
+ATTRS = re.compile(r"(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+")
+CODE_ATTRS = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+")
+COMMENT_END = re.compile(r"--!?>")
+CODE_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
+#: Open elements from either end whose features a block gets.
+NEAREST = 64
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 PARTS = re.compile(r"[a-z0-9]+")
 PAGES, STEPS, RATE, RIDGE = 900, 200, 0.1, 2e-4
 
 
+def markup(page: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """(start, end, lower-case tag or nothing, whether it is an end tag, attributes) of each piece of markup, in time linear in the page.
+
+    Comments and the text of scripts and styles are part of their piece, up to the page's end if nothing else ends them.  A < that no > follows is text.  Where quotes of a tag
+    don't pair up before the tag ends, it ends at its first >; after vain searches over several times the page's length, quotes aren't looked at any more.
+    """
+    at, budget = 0, 4 * len(page)
+    last = page.rfind(">")  # beyond it there are no tags
+    while (start := page.find("<", at)) >= 0:
+        at = start + 1
+        if page.startswith("<!--", start):
+            found = COMMENT_END.search(page, start + 4)
+            at = found.end() if found else len(page)
+            yield start, at, "", False, ""
+            continue
+        name = TAG.match(page, start)
+        if start > last or not (name or page[at : at + 1] in ("!", "?", "/")):
+            continue
+        if not name:
+            at = page.index(">", start) + 1
+            yield start, at, "", False, ""
+            continue
+        tag, closing = name[1].lower(), page[at] == "/"
+        code = CODE_END.get(tag) if not closing and page[name.end() : name.end() + 1] not in ("", *"abcdefghijklmnopqrstuvwxyz") else None
+        end = name.end()
+        if budget > 0:
+            end = (CODE_ATTRS if code else ATTRS).match(page, end).end()
+        usual = page[end : end + 1] == ">"
+        if not usual:
+            budget -= end - start
+            end = page.index(">", start)
+        at = end + 1
+        if code:
+            found = code.search(page, at)
+            at = found.end() if found else len(page)
+            yield start, at, "", False, ""
+        else:
+            yield start, at, tag if usual else "", closing, page[name.end() : end]
+
+
 @dataclass
 class Block:
     above: tuple[str, ...]  # features of the elements around it, outermost first
@@ -60,87 +103,143 @@ def names(attrs: str) -> list[str]:
     return out
 
 
+class Open:
+    """The open block elements, innermost last, with what each scope holds; every question costs a constant."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, tuple[str, ...]]] = []
+        self.tags: Counter[str] = Counter()
+        self.scopes: list[Counter[str]] = [Counter()]  # of the elements since a scope began, itself included
+
+    def push(self, tag: str, features: tuple[str, ...]) -> None:
+        self.stack.append((tag, features))
+        self.tags[tag] += 1
+        if tag in SCOPE:
+            self.scopes.append(Counter())
+        self.scopes[-1][tag] += 1
+
+    def close(self, tags: frozenset[str] | set[str]) -> None:
+        """End the innermost element of ``tags`` and all in it."""
+        while True:
+            tag = self.stack.pop()[0]
+            self.tags[tag] -= 1
+            self.scopes[-1][tag] -= 1
+            if tag in SCOPE:
+                self.scopes.pop()
+            if tag in tags:
+                return
+
+    def above(self) -> tuple[str, ...]:
+        """Features of the outermost and the innermost ``NEAREST`` elements; pages nest deeper only in error."""
+        near = self.stack if len(self.stack) <= 2 * NEAREST else [*self.stack[:NEAREST], *self.stack[-NEAREST:]]
+        return tuple(x for _, features in near for x in features)
+
+
+class Silent:
+    """A silent element and what is open inside it."""
+
+    def __init__(self) -> None:
+        self.stack: list[str] = []
+        self.tags: Counter[str] = Counter()
+
+    def push(self, tag: str) -> None:
+        self.stack.append(tag)
+        self.tags[tag] += 1
+
+    def close(self, tag: str) -> None:
+        while self.stack:
+            last = self.stack.pop()
+            self.tags[last] -= 1
+            if last == tag:
+                return
+
+    def clear(self) -> None:
+        self.stack.clear()
+        self.tags.clear()
+
+    def ended_by(self, tag: str) -> bool:
+        """Whether the start of ``tag`` ends it."""
+        first = self.stack[0]
+        return (
+            (tag == "body" and first in ("head", "title"))
+            or (first == "head" and len(self.stack) == 1 and tag not in HEAD)
+            or (first == "svg" and tag in BREAKOUT and not self.tags["foreignobject"])
+        )
+
+
 def blocks(page: str | None) -> list[Block]:
-    """Leaf blocks in page order: texts between the starts and ends of block elements, references decoded, white space folded."""
+    """Leaf blocks in page order: texts between the starts and ends of block elements, references decoded, white space folded; in time linear in the page."""
     page = page or ""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
-    above: tuple[str, ...] = ()
+    elements, silent = Open(), Silent()
+    above: tuple[str, ...] | None = ()  # not known until a text needs it
     parts: list[str] = []
-    silent: list[str] = []  # a silent element and what is open inside it
     inline: Counter[str] = Counter()  # open inline elements
     linked = link = at = 0
 
     def flush() -> None:
-        nonlocal linked
+        nonlocal linked, above
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             parts.clear()
             if text:
+                if above is None:
+                    above = elements.above()
                 out.append(Block(above, text, linked))
             linked = 0
 
     def read(text: str) -> None:
         nonlocal linked
-        if silent == ["head"] and text.strip():
+        if silent.stack == ["head"] and text.strip():
             silent.clear()
-        if text and not silent:
+        if text and not silent.stack:
             parts.append(text)
             if link:
                 linked += len(text)
 
-    for found in MARKUP.finditer(page):
-        read(page[at : found.start()])
-        at = found.end()
-        tag = found["tag"]
+    for start, end, tag, closing, attrs in markup(page):
+        read(page[at:start])
+        at = end
         if not tag:
             continue
-        tag = tag.lower()
-        empty = tag in VOID or found["attrs"].endswith("/")
-        if silent and not found["end"]:
-            if (tag == "body" and silent[0] in ("head", "title")) or (silent == ["head"] and tag not in HEAD) or (silent[0] == "svg" and tag in BREAKOUT and "foreignobject" not in silent):
+        empty = tag in VOID or attrs.endswith("/")
+        if silent.stack and not closing:
+            if silent.ended_by(tag):
                 silent.clear()
             else:
                 if not empty:
-                    silent.append(tag)
+                    silent.push(tag)
                 continue
-        if silent:
-            if tag in silent:
-                del silent[len(silent) - 1 - silent[::-1].index(tag) :]
+        if silent.stack:
+            if silent.tags[tag]:
+                silent.close(tag)
                 continue
-            if not (inline[tag] if tag in INLINE else any(x == tag for x, _ in stack)):
+            if not (inline[tag] if tag in INLINE else elements.tags[tag]):
                 continue
             silent.clear()
         if tag in SILENT:
-            if not found["end"] and not empty:
-                silent.append(tag)
+            if not closing and not empty:
+                silent.push(tag)
             continue
         if tag in INLINE:
             if not empty:
-                inline[tag] = max(0, inline[tag] + (-1 if found["end"] else 1))
+                inline[tag] = max(0, inline[tag] + (-1 if closing else 1))
             if tag == "a":
-                link = 0 if found["end"] else 1
+                link = 0 if closing else 1
             elif tag == "br":
                 parts.append(" ")
             continue
         flush()
-        if found["end"]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
+        if closing:
+            if elements.tags[tag]:
+                elements.close({tag})
         else:
             closes = ENDS.get(tag, PARAGRAPH)
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in closes:
-                    del stack[k:]
-                    break
-                if stack[k][0] in SCOPE:
-                    break
+            if any(elements.scopes[-1][x] for x in closes):
+                elements.close(closes)
             if tag not in VOID:
-                attrs = found["attrs"]
-                stack.append((tag, ("t:" + tag, *(names(attrs) if attrs and "=" in attrs else ()))))
-        above = tuple(x for _, features in stack for x in features)
+                elements.push(tag, ("t:" + tag, *(names(attrs) if attrs and "=" in attrs else ())))
+        above = None
         link = 0
     read(page[at:])
     flush()
