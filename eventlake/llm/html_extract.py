@@ -45,7 +45,7 @@ CODE_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
 NEAREST = 64
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 PARTS = re.compile(r"[a-z0-9]+")
-PAGES, STEPS, RATE, RIDGE = 900, 200, 0.1, 2e-4
+PAGES, STEPS, RATE, RIDGE = 900, 300, 0.1, 1e-5
 
 
 def markup(page: str) -> Iterator[tuple[int, int, str, bool, str]]:
