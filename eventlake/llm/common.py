@@ -104,6 +104,8 @@ def runs(values: np.ndarray) -> Iterator[tuple[int, int]]:
 
 #: A group that holds over one row in so many is hot: its rows are salted, so there are fewer hot groups than this.
 HOT = 1000
+#: Edges that one task may hold: with fewer in all, the edges of a hub needn't be dealt out.
+HUB = 1 << 20
 
 
 def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int, by: str) -> DataFrame:
@@ -123,7 +125,7 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str,
 def components(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
     """(id, root): the least id connected with each id of ``edges`` (a, b long), by alternating large-star and small-star steps.
 
-    Each step is a shuffle of the edge list, in which the edges of a hub are dealt to many tasks; what comes to the driver is one sum a round.
+    Each step is a shuffle of the edge list, in which the edges of a hub are dealt to many tasks once there are over ``HUB`` edges; what comes to the driver is one sum a round.
     Rounds go on until one changes nothing; every one lessens some end of an edge, so there is a last.
     """
     now = scratch.keep(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{name}0")
@@ -132,7 +134,8 @@ def components(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
         both = now.union(now.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n")
         # large star: every greater neighbour is linked to the least of the neighbourhood
-        big = join_groups(both, least, ["a"], "n", 2 * n, "b").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        dealt = join_groups(both, least, ["a"], "n", 2 * n, "b") if 2 * n > HUB else both.join(least, "a")
+        big = dealt.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         big = big.distinct()
         # small star: the node itself and its lesser neighbours are linked to the least of these
         low = big.groupBy("a").agg(F.min("b").alias("m"))

@@ -223,8 +223,8 @@ def units(spots: DataFrame, floor: int) -> DataFrame:
     return cut.select(wanted).unionByName(dealt.select(wanted))
 
 
-def shortened(crowded: DataFrame, dealt: DataFrame, clusters: DataFrame, scratch: Scratch, threshold: float, recall: float, floor: int, cut: float) -> DataFrame:
-    """Edges (a, b) of crowded runs that hold open classes and several clusters."""
+def shortened(crowded: DataFrame, dealt: DataFrame, clusters: DataFrame, scratch: Scratch, threshold: float, recall: float, floor: int, cut: float) -> DataFrame | None:
+    """Edges (a, b) of crowded runs that hold open classes and several clusters; nothing if there are no such runs."""
     # what a tree misses of pairs at the threshold: at a prefix of so many values, or all of them where blocks were dealt
     miss = lambda n: float(np.log1p(-(threshold**n)))
     lengths = dealt.select("key", "bucket", "length").distinct()
@@ -236,6 +236,9 @@ def shortened(crowded: DataFrame, dealt: DataFrame, clusters: DataFrame, scratch
     runs_ = kinds.groupBy("bucket").agg(F.sum("n").alias("size"), F.max_by("root", F.struct("n", "root")).alias("most"), F.max("n").alias("largest"), F.max("open").alias("open"))
     runs_ = runs_.where((F.col("size") > F.col("largest")) & F.col("open")).select(
         "bucket", "size", "most", F.ceil((F.col("size") - F.col("largest")) / BLOCK).cast("int").alias("nl"), F.ceil(F.col("size") / BLOCK).cast("int").alias("nr"))
+    runs_ = scratch.keep(runs_, "open-runs")
+    if not runs_.limit(1).count():
+        return None
     rows = join_groups(rows, runs_, ["bucket"], "size", rows.count(), "key")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     own = lambda n: F.pmod(F.xxhash64("key"), F.col(n)).cast("int")
@@ -323,9 +326,10 @@ def candidates(classes: DataFrame, scratch: Scratch, threshold: float, recall: f
     clusters = scratch.keep(components(scratch, near, "near"), "clusters")
     if any_crowded:
         more = shortened(crowded, dealt, clusters, scratch, threshold, recall, floor, cut)
-        both = clusters.select(F.col("id").alias("a"), F.col("root").alias("b")).union(more)
-        clusters = scratch.keep(components(scratch, both, "nearer"), "all-clusters")
-        scratch.drop("units", "crowded-rows", "clusters")
+        if more is not None:
+            both = clusters.select(F.col("id").alias("a"), F.col("root").alias("b")).union(more)
+            clusters = scratch.keep(components(scratch, both, "nearer"), "all-clusters")
+        scratch.drop("units", "crowded-rows", "open-runs")
     scratch.drop("spots")
     return clusters.where("id <> root").union(clusters.select("root", "root").distinct())
 
