@@ -49,6 +49,13 @@ class Refresh:
         """All of Silver, one row for each delivered event."""
         return {name: silver.deduplicated(self.table(name).read(), uri) for name, uri in URIS.items()}
 
+    def arrived(self, window: RefreshWindow) -> dict[str, DataFrame]:
+        """What the window received, one row for each event of it; the window reaches the scan as a bound on the day, before anything is compared.
+
+        An event that an earlier window had and this one got again is in it: facts that are there already are left out by their keys.
+        """
+        return {name: silver.deduplicated(received_between(self.table(name).read(), *window.bounds()), uri) for name, uri in URIS.items()}
+
     def gold(self) -> dict[str, DataFrame]:
         return {name: self.table(name).read() for name in ("dim_actors", "dim_posts", *FACTS)}
 
@@ -74,8 +81,7 @@ class Refresh:
 
     def facts(self, window: RefreshWindow) -> bool:
         """New facts of the window and corrected deletes; returns whether anything changed."""
-        s = self.silver()
-        now = {name: received_between(df, *window.bounds()) for name, df in s.items()}
+        s, now = self.silver(), self.arrived(window)
         changed = self._with_deletes("fact_content_events", "post_uri", POST, now["silver_posts"], s["silver_posts"], now["silver_deleted_records"], s["silver_deleted_records"], modeled.fact_content_events)
         changed |= self._with_deletes("fact_network_events", "follow_uri", FOLLOW, now["silver_follows"], s["silver_follows"], now["silver_deleted_records"], s["silver_deleted_records"], modeled.fact_network_events)
         changed |= self._store("fact_engagement_events", modeled.fact_engagement_events(now["silver_engagements"]), None)
@@ -128,8 +134,7 @@ class Refresh:
 
     def dimensions(self, window: RefreshWindow) -> None:
         """Rows of touched actors and posts, recomputed from all of their Silver rows."""
-        s = self.silver()
-        now = {name: received_between(df, *window.bounds()) for name, df in s.items()}
+        s, now = self.silver(), self.arrived(window)
         posts, engagements, follows, deletes = (now[k] for k in URIS)
         keys = affected.post_keys(posts, deletes)
         own = restrict(s["silver_posts"], keys, ["post_uri"])

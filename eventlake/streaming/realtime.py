@@ -75,6 +75,7 @@ def metrics_batch(root: str, clock: Callable[[], datetime] = lambda: datetime.no
     def write(batch: DataFrame, batch_id: int) -> None:
         began = clock()
         spark = batch.sparkSession
+        batch.persist()  # the source is read once, for the count and for what is classified
         events = classified(batch).persist()
         try:
             written = {}
@@ -85,6 +86,7 @@ def metrics_batch(root: str, clock: Callable[[], datetime] = lambda: datetime.no
                 written[metric] = spark.read.parquet(path).count()
         finally:
             events.unpersist()
+            batch.unpersist()
         done = clock()
         stamp = lambda t: t.astimezone(UTC).replace(tzinfo=None)
         row = (stamp(began), stamp(done), int((done - began).total_seconds() * 1000), n, *[written[m] for m in METRICS], n == 0, stamp(done))

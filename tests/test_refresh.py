@@ -9,7 +9,7 @@ from helpers import FOLLOW, LIKE, POST, REPOST, T0, event, messages, reply_to, s
 from eventlake.model import MEASURES
 from eventlake.operators import bronze, checks, marts, modeled, silver
 from eventlake.plans.refresh import STEPS, Refresh
-from eventlake.plans.state import StateStore
+from eventlake.plans.state import StateStore, refresh_window
 from eventlake.tables import Catalog
 
 PEOPLE = [f"did:{x}" for x in "abcd"]
@@ -122,3 +122,13 @@ def test_rebuild(spark, tmp_path):
         checks.require_ok(report)
     with pytest.raises(checks.CheckFailed):
         checks.require_ok(run.refresh.check_silver({**stored, "silver_posts": stored["silver_posts"].limit(1)}))
+
+
+def test_the_window_prunes_the_scan_before_anything_is_compared(spark, tmp_path):
+    run = Runner(spark, tmp_path)
+    run.load(random_events(4, 30), T0 + timedelta(days=9))
+    window = refresh_window(datetime(2024, 5, 2, tzinfo=UTC), datetime(2024, 5, 3, tzinfo=UTC), timedelta(0))
+    for df in run.refresh.arrived(window).values():
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        scan = next(line for line in plan.splitlines() if "FileScan" in line)
+        assert "ingest_date" in scan.split("PartitionFilters:")[1].split("PushedFilters")[0]
