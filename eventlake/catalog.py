@@ -39,8 +39,11 @@ class Built(dict):
 def stored(spark: SparkSession, sf_dir: str, layer: str, fresh: Built) -> Built:
     """The tables of a layer, each written once an application and input version: a layer reads the tables of the one below, not its plan."""
     events = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/events.parquet")
-    status = events.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(events)
-    version = hashlib.sha256(f"{sf_dir} {status.getModificationTime()} {status.getLen()}".encode()).hexdigest()[:16]
+    files, seen = events.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(events, True), [sf_dir]
+    while files.hasNext():  # the files and not their folder, which a rewrite in place may leave as it was
+        f = files.next()
+        seen.append(f"{f.getPath()} {f.getModificationTime()} {f.getLen()}")
+    version = hashlib.sha256("\n".join(sorted(seen)).encode()).hexdigest()[:16]
     tables = Catalog(spark, f"{shared_dir(spark)}/{layer}-{spark.sparkContext.applicationId}/{version}")
 
     def read(name: str) -> DataFrame:

@@ -23,10 +23,14 @@ def stream_messages(spark: SparkSession, path: str, max_files: int | None = None
     return reader.json(path)
 
 
+def kafka_options(servers: str, topic: str, starting: str = "earliest", max_offsets: int = 5000) -> dict[str, str]:
+    """Options of the topic's stream: Bronze starts at the earliest offset, live metrics at ``latest``; ``max_offsets`` a trigger is the back-pressure."""
+    return {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting, "maxOffsetsPerTrigger": str(max_offsets)}
+
+
 def stream_kafka(spark: SparkSession, servers: str, topic: str, starting: str = "earliest", max_offsets: int = 5000) -> DataFrame:
     """The topic itself; needs Spark's Kafka package on the class path."""
-    options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting, "maxOffsetsPerTrigger": str(max_offsets)}
-    return spark.readStream.format("kafka").options(**options).load().select("key", "value", "topic", "partition", "offset", "timestamp")
+    return spark.readStream.format("kafka").options(**kafka_options(servers, topic, starting, max_offsets)).load().select("key", "value", "topic", "partition", "offset", "timestamp")
 
 
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
