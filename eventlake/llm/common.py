@@ -15,7 +15,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventlake.session import shared_dir
@@ -132,14 +132,18 @@ def components(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
     before, k, n = None, 0, now.count()
     while True:
         both = now.union(now.select("b", "a"))
-        least = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n")
         # large star: every greater neighbour is linked to the least of the neighbourhood
-        dealt = join_groups(both, least, ["a"], "n", 2 * n, "b") if 2 * n > HUB else both.join(least, "a")
-        big = dealt.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        big = big.distinct()
+        if 2 * n > HUB:
+            least = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n")
+            big = join_groups(both, least, ["a"], "n", 2 * n, "b").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+            low = big.groupBy("a").agg(F.min("b").alias("m"))
+            with_least = big.join(low, "a")
+        else:  # a neighbourhood fits a task: its least comes from a window, one shuffle a star
+            around = Window.partitionBy("a")
+            big = both.withColumn("m", F.least("a", F.min("b").over(around))).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+            with_least = big.withColumn("m", F.min("b").over(around))
         # small star: the node itself and its lesser neighbours are linked to the least of these
-        low = big.groupBy("a").agg(F.min("b").alias("m"))
-        small = big.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*").where("a <> b").distinct()
+        small = with_least.select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*").where("a <> b").distinct()
         now = scratch.keep(small, f"{name}{k + 1}")
         scratch.drop(f"{name}{k}")
         k += 1
