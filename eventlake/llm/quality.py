@@ -172,8 +172,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
             x = features(list(batch["text"]), vectors, hashes)
             yield pd.DataFrame({"doc_id": batch["doc_id"], "quality": batch["quality"], "x": [row.tobytes() for row in x]})
 
-    # the sample's ids have a bound, and so has what comes back: under 200 bytes a row
-    sample = docs.select("doc_id", "text").join(F.broadcast(marked), "doc_id").mapInPandas(tidy(run), "doc_id long, quality double, x binary").toPandas()
+    # the sample's ids have a bound, and so has what comes back: one row of under 200 bytes an id, however many texts share it
+    sample = docs.select("doc_id", "text").join(F.broadcast(marked), "doc_id").mapInPandas(tidy(run), "doc_id long, quality double, x binary")
+    sample = sample.groupBy("doc_id").agg(F.min(F.struct("quality", "x")).alias("s")).select("doc_id", "s.*").toPandas()
     sample["x"] = sample["x"].map(bytes)
     sample = sample.sort_values(["doc_id", "x"])
     if not len(sample):
@@ -203,7 +204,7 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
     """doc_id, held_out, score, predicted for every row of ``docs``.
 
     Only the text is read for a score.  Null and empty texts get the score of a text without words;
-    labels that are null, contradict (the greater holds), or have no document don't stop the fit; without any the score
+    labels that are null, contradict (the greater holds), have no document or several (one is learnt from) don't stop the fit; without any the score
     is 0.5.  Repeated rows are scored each; other columns are ignored; an empty table gives no rows.
     """
     model = fit(docs, labels)

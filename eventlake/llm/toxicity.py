@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD, small_batches, tidy
+from .common import WORD, Scratch, small_batches, tidy
 from .quality import held_out, sigmoid
 
 #: Common English insults, which split labelled toxic texts into ``insult`` and ``coded`` (abuse in other words).
@@ -138,7 +138,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
     marked = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(~held_out(F.col("doc_id")))
     share = min(1.0, max_labelled / max(1, marked.count()))
     marked = marked.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
-    sample = docs.select("doc_id", "text").join(F.broadcast(marked), "doc_id")  # the sample has a bound
+    # the sample has a bound, one text an id; written once, since it is read for the traits and for their links
+    sample = docs.select("doc_id", "text").join(F.broadcast(marked), "doc_id").groupBy("doc_id").agg(F.min(F.struct("text", "toxic")).alias("s"))
+    sample = Scratch(docs.sparkSession, "toxicity").keep(sample.select("doc_id", "s.*"), "sample")
     size = marked.groupBy("toxic").count().collect()
     n = {bool(r["toxic"]): r["count"] for r in size}
     bad, good = n.get(True, 0), n.get(False, 0)
@@ -172,7 +174,7 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
 
     ``toxic`` is p_toxic >= ``threshold``.  Categories come from ``labels.toxic``: a toxic text with a word of
     INSULTS is an insult, another one coded.  Null and empty texts are read as having no words; null labels
-    are skipped, contradicting ones count as toxic; with one kind of label only, all are of that kind, and with none
+    are skipped, contradicting ones count as toxic, of several texts with one id the least is learnt from; with one kind of label only, all are of that kind, and with none
     nothing is toxic.  Repeated rows are judged each; other columns are ignored; an empty table gives no rows.
     """
     chain = fit(docs, labels)
