@@ -63,5 +63,6 @@ MEASURES = {
     "actor_activity_daily": ["original_posts_created", "replies_created", "posts_updated", "posts_deleted", "likes_given", "reposts_given", "follows_created", "follows_deleted", "engagements_given", "received_likes", "received_reposts", "received_engagements", "activity_score"],
     "network_growth_daily": ["follow_count", "unfollow_count", "net_follow_count", "unique_follower_count"],
 }
-#: Layout on disk: high-volume tables are partitioned by day, so a refresh window prunes to a few directories.
+#: Layout on disk: high-volume tables are partitioned by day, so a refresh window prunes to a few directories and rewrites a few.
 PARTITIONS = {name: ["ingest_date"] for name in (*SILVER, "fact_content_events", "fact_engagement_events", "fact_network_events")}
+PARTITIONS |= {name: ["activity_date"] for name in ("actor_activity_daily", "network_growth_daily")}

@@ -65,7 +65,7 @@ class Refresh:
     # full
 
     def rebuild(self) -> None:
-        """Everything from Silver, as new versions."""
+        """Everything from Silver."""
         end = self.clock()
         for name, df in modeled.build_all(self.silver()).items():
             self.table(name).overwrite(df)
@@ -102,11 +102,12 @@ class Refresh:
 
     def _store(self, name: str, fresh: DataFrame, stale: DataFrame | None) -> bool:
         """Append facts that aren't there; ``stale`` rows are replaced if ``fresh`` has them otherwise.  Keeps both as the change table."""
-        (key,), table, log = KEYS[name], self.table(name), self.table(f"changed_{name}")
-        log.overwrite(fresh)  # computed once
-        fresh = log.read()
+        (key,), table, log, work = KEYS[name], self.table(name), self.table(f"changed_{name}"), self.table(f"fresh_{name}")
+        work.overwrite(fresh)  # computed once
+        fresh = work.read()
         checks.require_keys(fresh, [key], name)
         if not table.exists():
+            log.overwrite(fresh)
             table.overwrite(fresh)
             return fresh.limit(1).count() > 0
         current = table.read()
@@ -119,15 +120,15 @@ class Refresh:
         if wrong is None:
             # ids are unique in fresh and absent from current, so the union needs no check of the whole table
             new = exclude(fresh, current, [key])
-            version = log.overwrite(new)
-            new = log.read(version)
+            log.overwrite(new)
+            new = log.read()
             if not new.limit(1).count():
                 return False
             table.append(new)
         else:
-            old = wrong.select(key).distinct()
-            version = log.overwrite(exclude(fresh, exclude(current, old, [key]), [key]).unionByName(wrong))
-            both = log.read(version)
+            old = wrong.select(key, *table.partition_by).distinct()
+            log.overwrite(exclude(fresh, exclude(current, old, [key]), [key]).unionByName(wrong))
+            both = log.read()
             new = both.join(fresh.select(*both.columns), reduce_equal(both, fresh), "left_semi").dropDuplicates([key])
             table.replace(old, new, [key])
         return True
@@ -237,6 +238,10 @@ class Refresh:
 
         before = self.states.read("facts")
         behind = before is None or any((self.states.read(s) or before.replace(year=1)) < before for s in STEPS[1:])
+        behind = behind or (self.states.read("facts_begun") or before) > before  # facts stopped midway
+        self.states.write("facts_begun", self.clock())
+        for name in KEYS:
+            self.table(name).finish()
         report.has_changes = bool(step("facts", self.facts))
         if skip_unchanged and not report.has_changes and not behind and not ignore_state and not force and mode != "strict":
             for name in STEPS[1:]:

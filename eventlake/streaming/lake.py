@@ -34,8 +34,8 @@ def bronze_streams(messages: DataFrame, root: str, checkpoints: str, trigger: Tr
 def silver_batch(catalog: Catalog, stream: str) -> Callable[[DataFrame, int], None]:
     """A foreachBatch function that appends a Bronze batch to the Silver tables, each once a batch.
 
-    The appends carry the batch's number: when a batch is delivered again, tables that have it stay as they are.
-    Counts come from the write; an empty batch only makes sure that the tables exist.
+    The appends carry the batch's number: when a batch is delivered again, its rows take their own place.
+    An empty batch only makes sure that the tables exist.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
@@ -57,6 +57,6 @@ def silver_stream(bronze_commits: DataFrame, catalog: Catalog, checkpoint: str,
 
 
 def build_silver(bronze_commits: DataFrame, catalog: Catalog) -> None:
-    """The batch twin: Silver from all of Bronze, as new versions."""
+    """The batch twin: Silver from all of Bronze, in place of what is there."""
     for name, build in silver.TABLES.items():
         catalog.table(name, PARTITIONS[name]).overwrite(build(bronze_commits))

@@ -1,9 +1,10 @@
-"""Versioned Parquet tables: snapshots, batch-numbered appends, merges and keyed replacement.
+"""Tables as plain Parquet folders, written with Spark's own writers: appends, merges and keyed replacement.
 
-A table is a folder of data directories and of one JSON manifest a version, which lists the directories that make
-up the version.  A commit writes its manifest under a name that must not exist yet, so a failed write leaves
-no trace for readers and a reader of a version is never disturbed.  An append adds a directory and copies nothing.
-One writer a table is assumed; a second one that commits at the same time fails instead of overwriting.
+``rows`` holds the files, partitioned by the table's day column, if it has one, and by load; with ``schema.json`` an empty
+table can be read.  An append overwrites its own load and nothing else, so a batch that is delivered again changes nothing.
+A replacement rewrites the days that hold its keys, or the whole of a table without days.  Rewrites are written aside
+first, since they may read the table itself, and then moved into place; ``finish`` completes a move that was cut off.
+One writer a table is assumed, and no reader during a rewrite: who needs snapshots puts a table format in this place.
 All access is through Hadoop file systems, so a table can live on any store that Spark reaches.
 """
 
@@ -17,7 +18,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventlake.operators.scope import exclude
+from eventlake.operators.scope import exclude, union
+
+LOAD = "load"
+#: Spark's folder name for a partition without a value.
+NULL = "__HIVE_DEFAULT_PARTITION__"
 
 
 class TableError(RuntimeError):
@@ -27,109 +32,106 @@ class TableError(RuntimeError):
 class Table:
     def __init__(self, spark: SparkSession, root: str, name: str, partition_by: Sequence[str] = ()) -> None:
         self.spark, self.path, self.name, self.partition_by = spark, f"{root.rstrip('/')}/{name}", name, list(partition_by)
-        self._path = spark._jvm.org.apache.hadoop.fs.Path
-        self.fs = self._path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
+        self.fs = self._at().getFileSystem(spark._jsc.hadoopConfiguration())
 
-    def versions(self) -> list[int]:
-        folder = self._path(f"{self.path}/_versions")
-        if not self.fs.exists(folder):
-            return []
-        return sorted(int(s.getPath().getName()[:-5]) for s in self.fs.listStatus(folder) if s.getPath().getName().endswith(".json"))
+    def _at(self, *below: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.path, *below]))
 
     def exists(self) -> bool:
-        return bool(self.versions())
-
-    def manifest(self, version: int | None = None) -> dict:
-        version = version if version is not None else max(self.versions(), default=None)
-        at = self._path(f"{self.path}/_versions/{version}.json")
-        if version is None or not self.fs.exists(at):
-            raise TableError(f"{self.name} has no version {version}")
-        stream = self.fs.open(at)
+        return self.fs.exists(self._at("schema.json"))
+
+    def schema(self) -> T.StructType:
+        if not self.exists():
+            raise TableError(f"there is no table {self.name}")
+        stream = self.fs.open(self._at("schema.json"))
         try:
-            return json.loads(bytes(stream.readAllBytes()).decode())
+            return T.StructType.fromJson(json.loads(bytes(stream.readAllBytes()).decode()))
         finally:
             stream.close()
 
-    def _commit(self, parts: list[str], schema: T.StructType, operation: str, batch: tuple[str, int] | None = None) -> int:
-        last = max(self.versions(), default=0)
-        batches = dict(self.manifest(last)["batches"]) if last else {}
-        if batch:
-            batches[batch[0]] = batch[1]
-        body = {"version": last + 1, "operation": operation, "batches": batches, "parts": parts, "schema": schema.jsonValue()}
-        stream = self.fs.create(self._path(f"{self.path}/_versions/{last + 1}.json"), False)  # fails if it exists
+    def _declare(self, schema: T.StructType) -> None:
+        stream = self.fs.create(self._at("schema.json"), True)
         try:
-            stream.write(bytearray(json.dumps(body).encode()))
+            stream.write(bytearray(schema.json().encode()))
         finally:
             stream.close()
-        return last + 1
-
-    def _write(self, df: DataFrame) -> str:
-        part = f"data/part=p{uuid.uuid4().hex}"
-        df.write.partitionBy(*self.partition_by).parquet(f"{self.path}/{part}") if self.partition_by else df.write.parquet(f"{self.path}/{part}")
-        return part
-
-    def create(self, schema: T.StructType) -> int:
-        """An empty first version; a no-op if there is one."""
-        return max(self.versions(), default=0) or self._commit([], schema, "create")
-
-    def read(self, version: int | None = None) -> DataFrame:
-        """Rows of a version, the current one by default; later commits don't change what was read."""
-        m = self.manifest(version)
-        schema = T.StructType.fromJson(m["schema"])
-        if not m["parts"]:
-            return self.spark.createDataFrame([], schema)
-        # one scan of all parts, however many appends there were; part is a directory level and no column of the table
-        paths = [f"{self.path}/{p}" for p in m["parts"]]
-        return self.spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*paths).select(*schema.fieldNames())
-
-    def overwrite(self, df: DataFrame) -> int:
-        """A version of these rows alone; ``df`` may read the table itself."""
-        return self._commit([self._write(df)], df.schema, "overwrite")
 
-    def append(self, df: DataFrame, batch: tuple[str, int] | None = None) -> int:
-        """These rows besides the present ones.
-
-        ``batch`` is the stream and the number of a micro-batch; numbers grow, and one that is not above the stream's last is
-        being delivered again and changes nothing.
-        """
+    def create(self, schema: T.StructType) -> None:
+        """An empty table; a no-op if there is one."""
         if not self.exists():
-            return self._commit([self._write(df)], df.schema, "append", batch)
-        m = self.manifest()
-        if batch is not None and batch[1] <= m["batches"].get(batch[0], -1):
-            return m["version"]
-        return self._commit([*m["parts"], self._write(df)], T.StructType.fromJson(m["schema"]), "append", batch)
+            self._declare(schema)
 
-    def merge(self, df: DataFrame, keys: Sequence[str]) -> int:
+    def read(self) -> DataFrame:
+        schema = self.schema()
+        if not self.fs.exists(self._at("rows")):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(T.StructType([*schema.fields, T.StructField(LOAD, T.StringType())])).parquet(f"{self.path}/rows").select(*schema.fieldNames())
+
+    def _write(self, df: DataFrame, folder: str, load: str, mode: str = "static") -> None:
+        writer = df.withColumn(LOAD, F.lit(load)).write.partitionBy(*self.partition_by, LOAD)
+        writer.mode("overwrite").option("partitionOverwriteMode", mode).parquet(f"{self.path}/{folder}")
+
+    def append(self, df: DataFrame, batch: tuple[str, int] | None = None) -> None:
+        """These rows besides the present ones; ``batch`` is the stream and number of a micro-batch, whose rows take the place of an earlier delivery's."""
+        self.finish()
+        self.create(df.schema)
+        self._write(df.select(*self.schema().fieldNames()), "rows", f"{batch[0]}-{batch[1]}" if batch else uuid.uuid4().hex, "dynamic")
+
+    def overwrite(self, df: DataFrame) -> None:
+        """These rows alone; ``df`` may read the table itself."""
+        self.finish()
+        self._write(df, "whole", uuid.uuid4().hex)
+        self._declare(df.schema)
+        self.finish()
+
+    def merge(self, df: DataFrame, keys: Sequence[str]) -> None:
         """Rows of ``df`` replace those with the same keys; others are added."""
-        return self.replace(df, df, keys)
+        self.replace(df, df, keys)
 
-    def replace(self, keys_df: DataFrame, df: DataFrame, keys: Sequence[str], null_safe: bool = True) -> int:
-        """Rows with keys in ``keys_df`` go, rows of ``df`` come: keys without new rows just go."""
+    def replace(self, keys_df: DataFrame, df: DataFrame, keys: Sequence[str]) -> None:
+        """Rows with keys in ``keys_df`` go, rows of ``df`` come: keys without new rows just go.  Null is a key like others.
+
+        In a partitioned table ``keys_df`` also has the day of these rows, and only those days and the ones of ``df`` are
+        read and written.  Days, at most one a folder of the table, are all that reaches the driver.
+        """
         if not self.exists():
             return self.overwrite(df)
-        kept = exclude(self.read(), keys_df, keys, null_safe)
-        return self._commit([self._write(kept.unionByName(df.select(*kept.columns)))], kept.schema, "replace")
-
-    def history(self) -> list[dict]:
-        return [{k: m[k] for k in ("version", "operation", "batches")} for m in map(self.manifest, self.versions())]
-
-    def compact(self) -> int:
-        """A version of the same rows in one part, after many appends."""
-        return self._commit([self._write(self.read())], T.StructType.fromJson(self.manifest()["schema"]), "compact")
-
-    def expire(self, keep: int = 2) -> list[str]:
-        """Forget all but the last versions and delete parts that only they had."""
-        versions = self.versions()
-        live = {p for v in versions[-keep:] for p in self.manifest(v)["parts"]}
-        gone = sorted({p for v in versions[:-keep] for p in self.manifest(v)["parts"]} - live)
-        for v in versions[:-keep]:
-            self.fs.delete(self._path(f"{self.path}/_versions/{v}.json"), False)
-        for p in gone:
-            self.fs.delete(self._path(f"{self.path}/{p}"), True)
-        return gone
+        self.finish()
+        rows = self.read()
+        df = df.select(*rows.columns)
+        if not self.partition_by:
+            return self.overwrite(exclude(rows, keys_df, keys, null_safe=True).unionByName(df))
+        (day,) = self.partition_by
+        days = [r[0] for r in keys_df.select(day).union(df.select(day)).distinct().collect()]
+        known = [d for d in days if d is not None]
+        touched = rows.where(F.col(day).isin(known) | F.col(day).isNull() if None in days else F.col(day).isin(known))
+        self._write(exclude(touched, keys_df, keys, null_safe=True).unionByName(df), "days", uuid.uuid4().hex)
+        for d in days:
+            folder = f"{day}={NULL if d is None else d}"
+            if not self.fs.exists(self._at("days", folder)):  # no row of that day is left
+                self.fs.delete(self._at("rows", folder), True)
+        self.finish()
+
+    def finish(self) -> None:
+        """Move what was written aside into its place; does nothing unless it was written to its end."""
+        if self.fs.exists(self._at("whole", "_SUCCESS")):
+            self.fs.delete(self._at("rows"), True)
+            self._move("whole", "rows")
+        if self.fs.exists(self._at("days", "_SUCCESS")):
+            for status in self.fs.listStatus(self._at("days")):
+                folder = status.getPath().getName()
+                if status.isDirectory():
+                    self.fs.delete(self._at("rows", folder), True)
+                    self._move(f"days/{folder}", f"rows/{folder}")
+            self.fs.delete(self._at("days"), True)
+
+    def _move(self, old: str, new: str) -> None:
+        self.fs.mkdirs(self._at(new).getParent())
+        if not self.fs.rename(self._at(old), self._at(new)):
+            raise TableError(f"{self.path}/{old} could not be moved to {new}")
 
     def drop(self) -> None:
-        self.fs.delete(self._path(self.path), True)
+        self.fs.delete(self._at(), True)
 
 
 class Catalog:
@@ -147,13 +149,9 @@ class Catalog:
         return sorted(s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()) if fs.exists(path) else []
 
     def views(self, *names: str) -> None:
-        """Register current versions for SQL."""
+        """Register tables for SQL."""
         for name in names or self.list():
             self.table(name).read().createOrReplaceTempView(name)
 
     def counts(self) -> DataFrame:
-        frames = [self.table(n).read().agg(F.count("*").alias("row_count")).select(F.lit(n).alias("table_name"), "row_count") for n in self.list()]
-        out = frames[0]
-        for f in frames[1:]:
-            out = out.union(f)
-        return out
+        return union([self.table(n).read().agg(F.count("*").alias("row_count")).select(F.lit(n).alias("table_name"), "row_count") for n in self.list()])

@@ -93,6 +93,20 @@ def test_late_create_corrects_an_earlier_delete_and_an_unchanged_run_is_skipped(
     assert not run.refresh.run(force=True).skipped
 
 
+def test_facts_that_stopped_midway_are_caught_up(spark, tmp_path, monkeypatch):
+    run = Runner(spark, tmp_path)
+    run.load([event(1, "did:a", "create", POST, "p", 0, text="x")], T0 + timedelta(minutes=1))
+    run.refresh.run()
+    run.load([event(2, "did:b", "create", POST, "q", 2, text="y"), event(3, "did:b", "create", LIKE, "l", 2, subject=subject(uri("did:a", "p")))], T0 + timedelta(minutes=3))
+    broken = Refresh(run.lake, run.refresh.states, timedelta(0), run.refresh.clock)
+    store = broken._store
+    monkeypatch.setattr(broken, "_store", lambda name, *a: store(name, *a) if name == "fact_content_events" else (_ for _ in ()).throw(checks.CheckFailed("stop")))
+    with pytest.raises(checks.CheckFailed):
+        broken.run()  # the new post is stored, and the next run finds it there
+    assert run.refresh.run().has_changes
+    run.check_full()
+
+
 def test_a_failed_step_is_caught_up_and_bad_modes_raise(spark, tmp_path, monkeypatch):
     run = Runner(spark, tmp_path)
     run.load([event(1, "did:a", "create", POST, "p", 0, text="x")], T0 + timedelta(minutes=1))
