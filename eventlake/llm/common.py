@@ -136,8 +136,8 @@ def components(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
         if 2 * n > HUB:
             least = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n")
             big = join_groups(both, least, ["a"], "n", 2 * n, "b").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-            low = big.groupBy("a").agg(F.min("b").alias("m"))
-            with_least = big.join(low, "a")
+            low = big.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+            with_least = join_groups(big, low, ["a"], "n", n, "b")  # hubs again: one with many lesser neighbours keeps them as rows here
         else:  # a neighbourhood fits a task: its least comes from a window, one shuffle a star
             around = Window.partitionBy("a")
             big = both.withColumn("m", F.least("a", F.min("b").over(around))).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))

@@ -119,6 +119,15 @@ def test_near_odd_rows_and_depths(spark):
     assert near_dedup.prefix_depth(0.8, 0.9999) == 6 and near_dedup.prefix_depth(0.8, 0.9) == 8 and near_dedup.prefix_depth(0.2, 0.9999) == 1
 
 
+def test_components_where_hubs_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr("eventlake.llm.common.HUB", 0)  # as for over a million edges
+    stars = [(0, k) for k in range(1, 300)] + [(k, 2000) for k in range(1000, 1300)]  # a least and a greatest hub
+    edges = [*stars, *[(k, k + 1) for k in range(5000, 5030)], (7, 7), (2000, 1000)]
+    got = {r.id: r.root for r in components(Scratch(spark, "t"), spark.createDataFrame(edges, "a long, b long"), "c").collect()}
+    want = {**{k: 0 for k in range(1, 300)}, **{k: 1000 for k in [*range(1001, 1300), 2000]}, **{k: 5000 for k in range(5001, 5031)}}
+    assert {k: v for k, v in got.items() if k != v} == want
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 130)] + [(7, 7), (200, 199), (199, 200)]
     got = {r.id: r.root for r in components(Scratch(spark, "t"), spark.createDataFrame(edges, "a long, b long"), "c").collect() if r.id != r.root}
