@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, divergence, exact_dedup, html_extract, near_dedup, quality, repeats, sentence_pieces, sharding, token_counts, toxicity
+from . import decontaminate, divergence, exact_dedup, html_extract, near_dedup, phrases, quality, repeats, sentence_pieces, sharding, simhash, token_counts, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,11 +22,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_exact_dedup": exact_dedup.query,
         "op10_sharding": sharding.query,
         "op11_source_divergence": divergence.query,
+        "op12_phrase_collocations": phrases.query,
+        "op13_simhash": simhash.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_dedup": EXACT_DEDUP, "op11_source_divergence": DIVERGENCE}
+    return {"op9_exact_dedup": EXACT_DEDUP, "op11_source_divergence": DIVERGENCE, "op12_phrase_collocations": COLLOCATIONS}
 
 
 EXACT_DEDUP = r"""
@@ -56,3 +58,23 @@ r AS (SELECT 'pair' AS part, *, row_number() OVER (PARTITION BY lang, source ORD
       UNION ALL SELECT 'term', *, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) FROM t)
 SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM r WHERE part = 'pair' OR rank <= 200
 """
+
+COLLOCATIONS = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+s AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+g AS (SELECT lang, ws, i, unnest(range(1, least(6, len(ws) - i + 2))) AS k FROM s),
+f AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, count(*)::HUGEINT AS a FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(a) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT * FROM f WHERE k > 1 AND a >= 100),
+x AS (SELECT c.*, unnest(range(1, k)) AS cut, string_split(phrase, ' ') AS ws FROM c),
+y AS (SELECT x.lang, x.phrase, x.k, x.a, x.cut, l.a AS l, r.a AS r, n.n, 1000 * x.a * n.n // (l.a * r.a) AS score,
+             row_number() OVER (PARTITION BY x.lang, x.phrase ORDER BY 1000 * x.a * n.n // (l.a * r.a), x.cut) AS best
+      FROM x JOIN n USING (lang) JOIN f l ON l.lang = x.lang AND l.k = x.cut AND l.phrase = array_to_string(x.ws[1:x.cut], ' ')
+      JOIN f r ON r.lang = x.lang AND r.k = x.k - x.cut AND r.phrase = array_to_string(x.ws[x.cut + 1:], ' ')),
+z AS (SELECT * FROM y WHERE best = 1 AND NOT EXISTS (FROM c WHERE c.lang = y.lang AND c.k > y.k AND 100 * c.a >= 100 * y.a
+      AND contains(' ' || c.phrase || ' ', ' ' || y.phrase || ' '))),
+q AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM z)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM q WHERE rank <= 2000
+"""

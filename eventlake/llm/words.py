@@ -93,9 +93,9 @@ class Sums:
         self.parts, self.n = [], 0
 
 
-def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, pa.Table]]:
-    """Rows of equal ``keys`` in a stream sorted by them, one group at a time."""
-    key, held = None, []
+def groups(batches: Iterator[pa.RecordBatch], keys: list[str], most: int | None = None) -> Iterator[tuple[tuple, pa.Table | pa.RecordBatch]]:
+    """Rows of equal ``keys`` in a stream sorted by them, one group at a time as a table; a group of over ``most`` rows comes in record batches."""
+    key, held, n = None, [], 0
     for batch in batches:
         if not len(batch):
             continue
@@ -107,10 +107,14 @@ def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple
         for a, b in zip(bounds[:-1], bounds[1:], strict=True):
             part = batch.slice(a, b - a)
             this = tuple(part[k][0].as_py() for k in keys)
-            if held and this != key:
-                yield key, pa.Table.from_batches(held)
-                held = []
-            key = this
+            if this != key:
+                if held:
+                    yield key, pa.Table.from_batches(held)
+                key, held, n = this, [], 0
             held.append(part)
+            n += len(part)
+            if most and n > most:
+                yield from ((key, p) for p in held)
+                held = []
     if held:
         yield key, pa.Table.from_batches(held)
