@@ -109,15 +109,18 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the rows that stay."""
+    """Pipeline stage: the rows that stay, with all their columns as they are.
+
+    Of rows that share both doc_id (null is an id like others) and text up to white space one stays, the longest; rows that share only one of these are judged
+    like any others.  Null and empty texts are one group; extra columns may have any names; an empty table gives no rows.
+    """
     kept = exact_duplicates(docs).where("kept").select("doc_id", "text_sha256").distinct()
     text = F.coalesce(docs["text"], F.lit(""))
     same = docs["doc_id"].eqNullSafe(kept["doc_id"]) & (F.sha2(normalised(text), 256) == kept["text_sha256"])
     out = docs.join(kept, same, "left_semi").select(docs.columns)
     if docs.groupBy("doc_id").count().where("count > 1").limit(1).count():  # repeated rows: one of each
-        out = out.withColumn("_n", -F.char_length(F.coalesce("text", F.lit(""))))
-        best = F.min_by(F.struct(*docs.columns), "_n").alias("r")
-        out = out.groupBy("doc_id", normalised(F.col("text")).alias("_t")).agg(best).select("r.*")
+        best = F.min_by(F.struct(*docs.columns), -F.char_length(F.coalesce("text", F.lit(""))))
+        out = out.groupBy(F.col("doc_id"), F.sha2(normalised(F.col("text")), 256)).agg(best.alias("r")).select("r.*")
     return out
 
 

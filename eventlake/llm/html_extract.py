@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -388,14 +388,14 @@ def extract(pages: DataFrame, model: Field | None = None) -> DataFrame:
     small_batches(spark)
     shared = spark.sparkContext.broadcast(model or default_model())
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [main_text(shared.value, x) for x in batch["html"]]
-            out = pd.DataFrame(found, columns=["text", "n_blocks", "n_kept"])
-            yield out.assign(page_id=batch["page_id"].astype("Int64"), url=batch["url"], n_chars=[len(x[0]) for x in found])[["page_id", "url", "text", "n_chars", "n_blocks", "n_kept"]]
+            found = [(text, len(text), blocks, kept) for text, blocks, kept in (main_text(shared.value, x) for x in batch["html"].to_pylist())]
+            columns = [pa.array([x[k] for x in found], pa.int64() if k else pa.string()) for k in range(4)]
+            yield pa.RecordBatch.from_arrays([batch["page_id"], batch["url"], *columns], names=["page_id", "url", "text", "n_chars", "n_blocks", "n_kept"])
 
     read = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    return read.mapInPandas(tidy(run), "page_id long, url string, text string, n_chars long, n_blocks long, n_kept long")
+    return read.mapInArrow(tidy(run), "page_id long, url string, text string, n_chars long, n_blocks long, n_kept long")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -259,10 +260,10 @@ def refine_windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield sort_windows(*(rows[c].to_numpy() for c in ("h", "key", "start", "place", "parts")), list(rows["bytes"]))
 
 
-def apply_spans(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def apply_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
-        for doc_id, text, spans in zip(batch["doc_id"], batch["text"], batch["spans"], strict=True):
+        for text, spans in zip(batch["text"].to_pylist(), batch["spans"].to_pylist(), strict=True):
             data = (text or "").encode()
             merged: list[list[int]] = []
             for x in sorted((x["start"], x["start"] + x["n"] + LENGTH - 1) for x in (() if spans is None else spans)):
@@ -276,9 +277,10 @@ def apply_spans(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 last = e
             kept.append(data[last:])
             removed = sum(e - s for s, e in merged)
-            out.append((doc_id, len(data), removed, len(merged), hashlib.sha256(b"".join(kept)).hexdigest(), [{"start": s, "end": e} for s, e in merged]))
-        rows = pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
-        yield rows.assign(doc_id=rows["doc_id"].astype("Int64"))
+            out.append((len(data), removed, len(merged), hashlib.sha256(b"".join(kept)).hexdigest(), [{"start": s, "end": e} for s, e in merged]))
+        kinds = [*[pa.int64()] * 3, pa.string(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))]
+        columns = [pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)]
+        yield pa.RecordBatch.from_arrays([batch["doc_id"], *columns], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -313,7 +315,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     covered = refined.where("place < 0").select("key", "start", "n").union(windows.select("key", "start", "n"))
     spans = covered.groupBy("key").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
     out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start: long, end: long>>"
-    return texts.join(spans, "key", "left").select("doc_id", "text", "spans").mapInPandas(tidy(apply_spans), out)
+    return texts.join(spans, "key", "left").select("doc_id", "text", "spans").mapInArrow(tidy(apply_spans), out)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

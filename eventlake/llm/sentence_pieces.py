@@ -8,10 +8,11 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import piece_model
 from .common import by_bytes, small_batches, tidy
@@ -19,6 +20,8 @@ from .common import by_bytes, small_batches, tidy
 MODEL = "piece_bpe_32k.model"
 #: One text in so many, by crc32, is also encoded by the sentencepiece library and compared: all of them.
 PARITY_ONE_IN = 1
+NAMES = ["n_tokens", "ids_sha256", "round_trip", "parity", "ids"]
+KINDS = [pa.int64(), pa.string(), pa.bool_(), pa.bool_(), pa.list_(pa.int32())]
 
 
 @lru_cache(maxsize=4)
@@ -39,45 +42,46 @@ def encode(docs: DataFrame, model_path: str | None = None, parity_one_in: int =
     path = model_path or public_tokenizers.path(MODEL)
     small_batches(docs.sparkSession)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok, ref = piece_model.load(path), reference(path)
         for batch in batches:
-            texts = [t or "" for t in batch["text"]]
+            texts = [t or "" for t in batch["text"].to_pylist()]
             rows = []
             for part in by_bytes(texts):
                 found = [e.ids for e in tok.encode_batch_fast(part, add_special_tokens=False)]
                 chosen = [k for k, t in enumerate(part) if zlib.crc32(t.encode()) % parity_one_in == 0]
                 same = dict(zip(chosen, ref.encode([part[k] for k in chosen], num_threads=1), strict=True))
                 parity = [same[k] == ids if k in same else None for k, ids in enumerate(found)]
-                found = [same.get(k, ids) for k, ids in enumerate(found)]
+                found = [same[k] if equal is False else ids for k, (ids, equal) in enumerate(zip(found, parity, strict=True))]
                 back = tok.decode_batch(found, skip_special_tokens=False)
                 for text, ids, equal, again in zip(part, found, parity, back, strict=True):
                     rows.append((len(ids), hashlib.sha256(np.array(ids, "<i4").tobytes()).hexdigest(), again == text, equal, ids))
-            out = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "round_trip", "parity", "ids"])
-            out["parity"] = out["parity"].astype("boolean")
-            out.insert(0, "doc_id", batch["doc_id"].to_numpy() if batch["doc_id"].notna().all() else batch["doc_id"].astype("Int64"))
-            yield out if keep_ids else out.drop(columns="ids")
+            columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(KINDS[: 4 + keep_ids])]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], *columns], names=["doc_id", *NAMES[: 4 + keep_ids]])
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, round_trip boolean, parity boolean" + ", ids array<int>" * keep_ids
-    return docs.select("doc_id", "text").mapInPandas(tidy(run), schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(run), schema)
 
 
 def decode(encoded: DataFrame, model_path: str | None = None) -> DataFrame:
-    """doc_id, text: the texts of ``ids``; null ids give an empty text."""
+    """doc_id, text for every row: the texts of ``ids``; null and empty ids give an empty text.
+
+    doc_id comes through as it is, null or repeated; other columns are ignored; an empty table gives no rows.
+    """
     path = model_path or public_tokenizers.path(MODEL)
     small_batches(encoded.sparkSession)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = piece_model.load(path)
         for batch in batches:
-            ids = [[] if x is None else list(x) for x in batch["ids"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "text": tok.decode_batch(ids, skip_special_tokens=False)})
+            texts = tok.decode_batch([x or [] for x in batch["ids"].to_pylist()], skip_special_tokens=False)
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(texts, pa.string())], names=["doc_id", "text"])
 
-    return encoded.select("doc_id", "ids").mapInPandas(tidy(run), "doc_id long, text string")
+    return encoded.select(F.col("doc_id").cast("long").alias("doc_id"), "ids").mapInArrow(tidy(run), "doc_id long, text string")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the token ids of every document."""
+    """Pipeline stage: the token ids of every document, a row each; ids that are null or repeat stay, null and empty texts have no tokens, extra columns go."""
     return encode(docs)
 
 

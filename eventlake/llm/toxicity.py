@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -181,12 +182,12 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(chain)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            p = shared.value.predict(shared.value.presence(list(batch["text"])))
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), **{f"p_{c}": p[:, k] for k, c in enumerate(CATEGORIES)}})
+            p = shared.value.predict(shared.value.presence(batch["text"].to_pylist()))
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], *[pa.array(p[:, k], pa.float64()) for k in range(len(CATEGORIES))]], names=["doc_id", *[f"p_{c}" for c in CATEGORIES]])
 
-    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(tidy(run), "doc_id long, p_insult double, p_coded double, p_toxic double")
+    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(run), "doc_id long, p_insult double, p_coded double, p_toxic double")
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "p_insult", "p_coded", "p_toxic", (F.col("p_toxic") >= threshold).alias("toxic"))
 
 
