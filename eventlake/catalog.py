@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from eventlake import serving
 from eventlake.model import KEYS, MEASURES
-from eventlake.operators import bronze, checks, marts, modeled, silver
+from eventlake.functions.pseudonyms import DEMO_KEYS, rotation
+from eventlake.operators import activity, alerts, bronze, checks, history, marts, modeled, quarantine, silver
 from eventlake.operators.scope import exclude, latest_by, received_between, restrict, union
 from eventlake.plans import affected
 from eventlake.session import shared_dir
@@ -149,6 +150,38 @@ def family_counts(lake: Lake) -> DataFrame:
     return union([bronze.family(lake.bronze, k).select("event_kind", "ingest_date") for k in bronze.FAMILIES]).groupBy("event_kind").agg(F.count("*").alias("event_count"), F.count_distinct("ingest_date").alias("day_count"))
 
 
+def commits(lake: Lake) -> DataFrame:
+    return bronze.family(lake.bronze, "commit")
+
+
+def first_engagements(lake: Lake) -> DataFrame:
+    return activity.first_engagements(activity.engagement_pairs(lake.silver["silver_posts"], lake.silver["silver_engagements"], 24 * 60))
+
+
+def versions(lake: Lake) -> DataFrame:
+    return history.actor_versions(history.actor_changes(bronze.family(lake.bronze, "identity"), bronze.family(lake.bronze, "account")))
+
+
+def content_actor_versions(lake: Lake) -> DataFrame:
+    """Each content event with the version of its author that held then."""
+    facts = lake.gold["fact_content_events"].select("content_event_id", "author_did", activity.wall(activity.stream_time()).alias("at"))
+    return history.as_of(facts, versions(lake), "author_did", "at", ["version", "handle", "is_active"])
+
+
+def lived(lake: Lake) -> DataFrame:
+    """Lifetimes of likes, reposts and follows."""
+    s = lake.silver
+    engaged = s["silver_engagements"].selectExpr("engagement_uri AS record_uri", "engagement_type AS kind", "subject_uri AS target", "jetstream_time_us")
+    followed = s["silver_follows"].selectExpr("follow_uri AS record_uri", "'follow' AS kind", "target_actor_did AS target", "jetstream_time_us")
+    return history.lifetimes(history.transitions(engaged.unionByName(followed), s["silver_deleted_records"].select("record_uri", "jetstream_time_us")))
+
+
+def spike_levels(lake: Lake) -> DataFrame:
+    hour = activity.wall(F.date_trunc("hour", activity.stream_time()))
+    counts = commits(lake).groupBy("collection", hour.alias("bucket")).agg(F.count("*").alias("n"))
+    return alerts.levels(alerts.filled(counts, "collection", "1 HOUR"), "collection")
+
+
 def changed(lake: Lake) -> list[DataFrame]:
     return [lake.since(lake.gold[n]) for n in ("fact_content_events", "fact_engagement_events", "fact_network_events")]
 
@@ -174,6 +207,11 @@ QUERIES: dict[str, Callable[[Lake], DataFrame]] = {
     "silver_reconcile": lambda x: checks.silver_reconcile({n: x.s[n] for n in x.s.names}, {n: x.silver[n] for n in x.silver.names}), "key_check": key_checks, "mart_reconcile": mart_reconcile, "silver_readiness": lambda x: checks.readiness({name: x.s[name] for name in x.s.names}),
     "reply_vs_original": lambda x: serving.reply_vs_original(x.m["post_performance"]), "adhoc_minute_reply": lambda x: serving.minute_reply_counts(x.gold["fact_content_events"], x.gold["dim_posts"]),
     "ttfe_distribution": lambda x: serving.ttfe_distribution(x.m["post_performance"]), "lifecycle_hourly": lambda x: serving.lifecycle_hourly(x.m["content_quality_hourly"]), "engagement_mix": lambda x: serving.engagement_mix(x.gold["fact_engagement_events"]),
+    "actor_sessions": lambda x: activity.actor_sessions(commits(x)), "activity_velocity": lambda x: activity.velocity(activity.sliding_counts(commits(x))), "post_first_engagement": first_engagements,
+    "actor_versions": versions, "content_actor_versions": content_actor_versions, "record_lifetimes": lived, "net_record_counts": lambda x: history.net_counts(lived(x)),
+    "spike_levels": spike_levels, "spike_alerts": lambda x: alerts.alerts(spike_levels(x), "collection"),
+    "quarantined_events": lambda x: quarantine.rejected(quarantine.judged(commits(x))).select("offset", "collection", "operation", F.concat_ws("; ", "reasons").alias("reasons")),
+    "quarantine_counts": lambda x: quarantine.counts(quarantine.judged(commits(x))), "pseudonym_rotation": lambda x: rotation(x.gold["dim_actors"], "actor_did", DEMO_KEYS, 1, 2),
     "serving_rows": lambda x: serving_rows(x.m["post_performance"]).select("post_uri", "is_deleted", "is_reply", "post_created_at", "engagement_score"),
 }
 

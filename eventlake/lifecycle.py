@@ -17,7 +17,7 @@ class Cleanup:
     paths: list[str] = field(default_factory=list)
 
     def plan(self) -> list[str]:
-        return [f"table {t}" for t in self.catalog.list()] + [f"path {p}" for p in self.paths] + [f"state {s.stem}" for s in sorted(self.states.folder.glob("*.json"))]
+        return [f"table {t}" for t in self.catalog.list()] + [f"path {p}" for p in self.paths] + [f"state {job}" for job in self.states.jobs()]
 
     def run(self, confirm: bool = False) -> list[str]:
         """The plan; carried out only with ``confirm``.  Paths that are gone already are passed over."""

@@ -63,6 +63,12 @@ MEASURES = {
     "actor_activity_daily": ["original_posts_created", "replies_created", "posts_updated", "posts_deleted", "likes_given", "reposts_given", "follows_created", "follows_deleted", "engagements_given", "received_likes", "received_reposts", "received_engagements", "activity_score"],
     "network_growth_daily": ["follow_count", "unfollow_count", "net_follow_count", "unique_follower_count"],
 }
-#: Layout on disk: high-volume tables are partitioned by day, so a refresh window prunes to a few directories and rewrites a few.
-PARTITIONS = {name: ["ingest_date"] for name in (*SILVER, "fact_content_events", "fact_engagement_events", "fact_network_events")}
+#: Buckets of tables that are keyed but have no day: a merge rewrites the buckets of its keys.
+BUCKETS = 64
+#: Layout on disk: tables are foldered by day or bucket, so a refresh window prunes to a few folders and rewrites a few.  A fact's folder is the day of its
+#: event, which is part of its id: whether an event is there already is asked of its own day alone, however late it came.
+PARTITIONS: dict[str, list[str] | dict[str, str]] = {name: ["ingest_date"] for name in SILVER}
+PARTITIONS |= {name: {"event_day": "date_from_unix_date(CAST(jetstream_time_us div 86400000000 AS INT))"} for name in ("fact_content_events", "fact_engagement_events", "fact_network_events")}
 PARTITIONS |= {name: ["activity_date"] for name in ("actor_activity_daily", "network_growth_daily")}
+PARTITIONS |= {"content_quality_hourly": {"day": "CAST(window_start AS DATE)"}}
+PARTITIONS |= {name: {"bucket": f"CAST(pmod(xxhash64({KEYS[name][0]}), {BUCKETS}) AS INT)"} for name in ("dim_actors", "dim_posts", "post_performance", "thread_conversation_summary")}

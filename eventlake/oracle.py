@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from hashlib import sha256
+
+from eventlake.functions.pseudonyms import DEMO_KEYS
+
 #: Silver and Gold as common table expressions over ``events``; a query names the ones it needs.
 CTES = r"""
 WITH base AS (
@@ -179,6 +183,72 @@ def _sums(table: str, measures: list[str]) -> str:
     return " UNION ALL ".join(parts)
 
 
+def _hmac(key: bytes, value: str) -> str:
+    """HMAC-SHA256 of a string in SQL, by its definition."""
+    key = (sha256(key).digest() if len(key) > 64 else key).ljust(64, b"\0")
+    inner, outer = ("'" + "".join(f"\\x{b ^ pad:02X}" for b in key) + "'::BLOB" for pad in (0x36, 0x5C))
+    return f"sha256({outer} || unhex(sha256({inner} || encode({value}))))"
+
+
+#: Sessions, versions, lifetimes, alerts, quarantine, pseudonyms.
+CHANGED = """SELECT did AS actor_did, time_us, event_kind, CASE event_kind WHEN 'identity' THEN 'u' || user_id || '-' || (event_id % 3) || '.example' END AS handle,
+            CASE event_kind WHEN 'account' THEN event_id % 3 <> 0 END AS is_active,
+            CASE WHEN event_kind = 'account' AND event_id % 3 = 0 THEN CASE WHEN event_id % 2 = 0 THEN 'deactivated' ELSE 'suspended' END END AS status
+            FROM raw WHERE event_kind IN ('identity', 'account')"""
+VERSIONS = f"""changed AS ({CHANGED}),
+        filled AS (SELECT actor_did, time_us, last_value(handle IGNORE NULLS) OVER w AS handle,
+            last_value(CASE event_kind WHEN 'account' THEN {{'a': is_active, 's': status}} END IGNORE NULLS) OVER w AS account, row_number() OVER w AS n FROM changed
+            WINDOW w AS (PARTITION BY actor_did ORDER BY time_us, event_kind, handle NULLS FIRST, is_active NULLS FIRST, status NULLS FIRST ROWS UNBOUNDED PRECEDING)),
+        states AS (SELECT actor_did, time_us, handle, account.a AS is_active, account.s AS status FROM filled QUALIFY row_number() OVER (PARTITION BY actor_did, time_us ORDER BY n DESC) = 1),
+        starts AS (SELECT * FROM states WINDOW w AS (PARTITION BY actor_did ORDER BY time_us)
+            QUALIFY row_number() OVER w = 1 OR lag(handle) OVER w IS DISTINCT FROM handle OR lag(is_active) OVER w IS DISTINCT FROM is_active OR lag(status) OVER w IS DISTINCT FROM status),
+        versions AS (SELECT actor_did, row_number() OVER w AS version, handle, is_active, status, make_timestamp(time_us) AS valid_from, make_timestamp(lead(time_us) OVER w) AS valid_to FROM starts
+            WINDOW w AS (PARTITION BY actor_did ORDER BY time_us))"""
+LIVED = """moves AS (SELECT engagement_uri AS record_uri, engagement_type AS kind, subject_uri AS target, jetstream_time_us AS us, true AS opens FROM eng
+            UNION ALL SELECT follow_uri, 'follow', target_actor_did, jetstream_time_us, true FROM fol UNION ALL SELECT record_uri, NULL, NULL, jetstream_time_us, false FROM del),
+        turns AS (SELECT * FROM moves QUALIFY coalesce(lag(opens) OVER (PARTITION BY record_uri ORDER BY us, opens DESC, kind, target), false) <> opens),
+        lived AS (SELECT record_uri, kind, target, opens, us, lead(us) OVER (PARTITION BY record_uri ORDER BY us, opens DESC) AS end_us FROM turns)"""
+LEVELS = """counts AS (SELECT collection, date_trunc('hour', make_timestamp(time_us)) AS bucket, count(*) AS n FROM ev WHERE event_kind = 'commit' GROUP BY ALL),
+        grid AS (SELECT collection, unnest(generate_series(min(bucket), max(bucket), INTERVAL 1 HOUR)) AS bucket FROM counts GROUP BY collection),
+        lists AS (SELECT collection, bucket, coalesce(n, 0) AS n, list(coalesce(n, 0)) OVER (PARTITION BY collection ORDER BY bucket ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING) AS before FROM grid LEFT JOIN counts USING (collection, bucket)),
+        medians AS (SELECT *, CASE WHEN len(before) >= 6 THEN list_aggregate(before, 'median') END AS median FROM lists),
+        spreads AS (SELECT *, CASE WHEN median IS NULL THEN 1.0::DOUBLE ELSE greatest(1.0::DOUBLE, 1.4826::DOUBLE * list_aggregate(list_transform(before, lambda x: abs(x - median)), 'median')) END AS spread FROM medians),
+        scores AS (SELECT collection, bucket, n, median, spread, (n - median) / CASE WHEN median IS NOT NULL THEN spread END AS score FROM spreads),
+        levels AS (SELECT *, coalesce(last_value(CASE WHEN score >= 3 THEN true WHEN score <= 1 THEN false END IGNORE NULLS) OVER (PARTITION BY collection ORDER BY bucket ROWS UNBOUNDED PRECEDING), false) AS "on" FROM scores)"""
+JUDGED = """judged AS (SELECT event_id AS "offset", collection, operation, list_filter([
+            CASE WHEN operation <> 'delete' AND created_at IS NULL THEN 'no client time' END,
+            CASE WHEN created_at IS NOT NULL AND TRY_CAST(created_at AS TIMESTAMP) IS NULL THEN 'malformed client time' END,
+            CASE WHEN TRY_CAST(created_at AS TIMESTAMP) > received_ts + INTERVAL 1 DAY THEN 'client time after receipt' END], lambda x: x IS NOT NULL) AS reasons FROM ev WHERE event_kind = 'commit')"""
+HISTORY = {
+    "actor_sessions": """, acts AS (SELECT did, make_timestamp(time_us) AS t, operation FROM ev WHERE event_kind = 'commit'),
+        marked AS (SELECT *, CASE WHEN t - lag(t) OVER (PARTITION BY did ORDER BY t) <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS starts FROM acts),
+        numbered AS (SELECT *, sum(starts) OVER (PARTITION BY did ORDER BY t ROWS UNBOUNDED PRECEDING) AS n FROM marked)
+        SELECT did AS actor_did, min(t) AS started_at, max(t) AS ended_at, (epoch_us(max(t)) - epoch_us(min(t))) / 1e6 AS seconds, count(*) AS event_count,
+        count(*) FILTER (operation = 'create') AS creates, count(*) FILTER (operation = 'delete') AS deletes FROM numbered GROUP BY did, n""",
+    "activity_velocity": """, spread AS (SELECT collection, time_bucket(INTERVAL 5 MINUTE, make_timestamp(time_us)) - to_minutes(unnest([0, 5])) AS window_start FROM ev WHERE event_kind = 'commit'),
+        slid AS (SELECT window_start, collection, count(*) AS event_count FROM spread GROUP BY ALL),
+        both_ AS (SELECT a.*, coalesce(b.event_count, 0) AS before FROM slid a LEFT JOIN slid b ON b.collection = a.collection AND b.window_start = a.window_start - INTERVAL 10 MINUTE)
+        SELECT *, event_count / 10.0::DOUBLE AS per_minute, event_count - before AS growth, CASE WHEN before > 0 THEN (event_count - before)::DOUBLE / before END AS growth_ratio FROM both_""",
+    "post_first_engagement": """, pairs AS (SELECT p.post_uri, make_timestamp(p.jetstream_time_us) AS posted_at, make_timestamp(e.jetstream_time_us) AS engaged_at, e.engagement_uri, e.engagement_type FROM posts p
+        LEFT JOIN eng e ON e.subject_uri = p.post_uri AND e.jetstream_time_us BETWEEN p.jetstream_time_us AND p.jetstream_time_us + 86400000000 WHERE p.operation = 'create')
+        SELECT *, (epoch_us(engaged_at) - epoch_us(posted_at)) / 1e6 AS seconds FROM pairs QUALIFY row_number() OVER (PARTITION BY post_uri, posted_at ORDER BY engaged_at, engagement_uri) = 1""",
+    "actor_versions": f", {VERSIONS} SELECT * FROM versions",
+    "content_actor_versions": f""", {VERSIONS}, facts AS (SELECT content_event_id, author_did, make_timestamp(jetstream_time_us) AS at FROM f_content)
+        SELECT f.*, v.version, v.handle, v.is_active FROM facts f ASOF LEFT JOIN versions v ON v.actor_did = f.author_did AND v.valid_from <= f.at""",
+    "record_lifetimes": f", {LIVED} SELECT record_uri, kind, target, make_timestamp(us) AS started_at, make_timestamp(end_us) AS ended_at, (end_us - us) / 1e6 AS seconds FROM lived WHERE opens",
+    "net_record_counts": f""", {LIVED}, steps AS (SELECT target, kind, us AS at_us, 1 AS step FROM lived WHERE opens UNION ALL SELECT target, kind, end_us, -1 FROM lived WHERE opens AND end_us IS NOT NULL),
+        summed AS (SELECT target, kind, at_us, sum(step) AS step FROM steps WHERE target IS NOT NULL GROUP BY ALL HAVING sum(step) <> 0)
+        SELECT target, kind, make_timestamp(at_us) AS at, sum(step) OVER (PARTITION BY target, kind ORDER BY at_us)::BIGINT AS net_count FROM summed""",
+    "spike_levels": f', {LEVELS} SELECT * FROM levels',
+    "spike_alerts": f""", {LEVELS}, turned AS (SELECT *, CASE WHEN "on" AND NOT coalesce(lag("on") OVER (PARTITION BY collection ORDER BY bucket), false) THEN 1 ELSE 0 END AS starts FROM levels),
+        runs AS (SELECT *, sum(starts) OVER (PARTITION BY collection ORDER BY bucket ROWS UNBOUNDED PRECEDING) AS run FROM turned)
+        SELECT collection, min(bucket) AS started_at, max(bucket) AS last_at, count(*) AS buckets, max(n) AS peak, max(score) AS peak_score FROM runs WHERE "on" GROUP BY collection, run""",
+    "quarantined_events": f""", {JUDGED} SELECT "offset", collection, operation, array_to_string(reasons, '; ') AS reasons FROM judged WHERE len(reasons) > 0""",
+    "quarantine_counts": f""", {JUDGED} SELECT outcome, count(*) AS event_count FROM (SELECT unnest(['read', CASE WHEN len(reasons) = 0 THEN 'accepted' ELSE 'rejected' END] || list_transform(reasons, lambda r: 'rejected: ' || r)) AS outcome FROM judged) GROUP BY 1""",
+    "pseudonym_rotation": f"SELECT 'v1:' || {_hmac(DEMO_KEYS[1], 'actor_did')} AS old_pseudonym, 'v2:' || {_hmac(DEMO_KEYS[2], 'actor_did')} AS new_pseudonym FROM dim_actors",
+}
+
+
 def sql() -> dict[str, str]:
     from eventlake.model import MEASURES
 
@@ -242,5 +312,6 @@ def sql() -> dict[str, str]:
         "rt_minute_activity": "SELECT window_start, content_activity_type, sum(activity_count)::BIGINT AS activity_count FROM rt_content, cut WHERE window_start >= cut_at AND window_start < cut_at + INTERVAL 1 DAY GROUP BY 1, 2",
         "serving_rows": """SELECT post_uri, CASE WHEN is_deleted THEN 1 ELSE 0 END AS is_deleted, CAST(is_reply AS INTEGER) AS is_reply, strftime(post_created_at, '%Y-%m-%d %H:%M:%S') AS post_created_at, engagement_score FROM perf""",
     }
+    body |= HISTORY
     body |= {name: f"SELECT * FROM {table} ORDER BY {order} LIMIT {n}" for name, (table, order, n) in PREVIEW.items()}
     return {name: CTES + text for name, text in body.items()}

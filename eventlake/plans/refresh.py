@@ -1,8 +1,10 @@
 """Refresh of facts, dimensions and marts, incrementally or in full, in one session.
 
-An incremental run gives what a full rebuild gives.  Facts of a window look up states in all of Silver, restricted to
-the window's keys; deletes whose post or follow turns up later are corrected.  The rows that a run
-replaced and added are kept as change tables, and downstream keys come from these, not from receipt times.
+An incremental run gives what a full rebuild gives, however late rows come: by default a step works on the loads of Silver that it
+hasn't had yet, whatever times they carry.  (With ``feed="received"`` it works on a window of receipt times with a lookback, and what comes later
+than that is missed.)  Facts look up states in all of Silver, restricted to the new keys; deletes whose post or follow turns up later are
+corrected; whether a fact is stored already is asked of the days of the new events only.  The rows that a run replaced and added are kept as
+change tables, and downstream keys come from these.
 """
 
 from __future__ import annotations
@@ -20,9 +22,10 @@ from eventlake.operators import checks, marts, modeled, silver
 from eventlake.operators.scope import exclude, received_between, restrict, union
 from eventlake.plans import affected
 from eventlake.plans.state import DEFAULT_LOOKBACK, RefreshWindow, StateStore, refresh_window
-from eventlake.tables import Catalog
+from eventlake.tables import Catalog, LoadSet
 
 MODES = ("fast", "standard", "strict")
+FEEDS = ("loads", "received")
 URIS = {"silver_posts": "post_uri", "silver_engagements": "engagement_uri", "silver_follows": "follow_uri", "silver_deleted_records": "record_uri"}
 FACTS = ("fact_content_events", "fact_engagement_events", "fact_network_events")
 STEPS = ("facts", "dimensions", "content_quality_hourly", "post_performance", "thread_conversation_summary", "network_growth_daily", "actor_activity_daily")
@@ -37,8 +40,10 @@ class Report:
 
 
 class Refresh:
-    def __init__(self, catalog: Catalog, states: StateStore, lookback=DEFAULT_LOOKBACK, clock: Callable[[], datetime] = lambda: datetime.now(UTC)) -> None:
-        self.catalog, self.states, self.lookback, self.clock = catalog, states, lookback, clock
+    def __init__(self, catalog: Catalog, states: StateStore, lookback=DEFAULT_LOOKBACK, clock: Callable[[], datetime] = lambda: datetime.now(UTC), feed: str = "loads") -> None:
+        if feed not in FEEDS:
+            raise ValueError(f"feed {feed!r} is none of {FEEDS}")
+        self.catalog, self.states, self.lookback, self.clock, self.feed = catalog, states, lookback, clock, feed
 
     # tables
 
@@ -56,6 +61,18 @@ class Refresh:
         """
         return {name: silver.deduplicated(received_between(self.table(name).read(), *window.bounds()), uri) for name, uri in URIS.items()}
 
+    def fed(self, step: str, again: bool = False) -> tuple[dict[str, DataFrame], dict[str, LoadSet]]:
+        """What arrived in loads that ``step`` hasn't had (``again``: in all), one row for each event; and the loads it has had then."""
+        rows, had = {}, {}
+        for name, uri in URIS.items():
+            table, had[name] = self.table(name), self.states.loads(step, name)
+            loads = table.loads()
+            new = loads if again else [x for x in loads if x not in had[name]]
+            rows[name] = silver.deduplicated(table.read() if len(new) == len(loads) else table.read_loads(new), uri)
+            for x in new:
+                had[name].add(x)
+        return rows, had
+
     def gold(self) -> dict[str, DataFrame]:
         return {name: self.table(name).read() for name in ("dim_actors", "dim_posts", *FACTS)}
 
@@ -66,7 +83,7 @@ class Refresh:
 
     def rebuild(self) -> None:
         """Everything from Silver."""
-        end = self.clock()
+        end, had = self.clock(), self.fed("facts", again=True)[1]
         for name, df in modeled.build_all(self.silver()).items():
             self.table(name).overwrite(df)
             checks.require_keys(self.table(name).read(), KEYS[name], name)
@@ -75,13 +92,13 @@ class Refresh:
         for name in FACTS:
             self.table(f"changed_{name}").overwrite(self.table(name).read().limit(0))
         for step in STEPS:
-            self.states.write(step, end)
+            self.states.write(step, end, had)
 
     # incremental steps
 
-    def facts(self, window: RefreshWindow) -> bool:
-        """New facts of the window and corrected deletes; returns whether anything changed."""
-        s, now = self.silver(), self.arrived(window)
+    def facts(self, now: dict[str, DataFrame]) -> bool:
+        """New facts of what arrived and corrected deletes; returns whether anything changed."""
+        s = self.silver()
         changed = self._with_deletes("fact_content_events", "post_uri", POST, now["silver_posts"], s["silver_posts"], now["silver_deleted_records"], s["silver_deleted_records"], modeled.fact_content_events)
         changed |= self._with_deletes("fact_network_events", "follow_uri", FOLLOW, now["silver_follows"], s["silver_follows"], now["silver_deleted_records"], s["silver_deleted_records"], modeled.fact_network_events)
         changed |= self._store("fact_engagement_events", modeled.fact_engagement_events(now["silver_engagements"]), None)
@@ -94,14 +111,14 @@ class Refresh:
         work = gone.unionByName(older).dropDuplicates(["record_uri", "operation", "jetstream_time_us"])
         history = restrict(all_rows, work.select(F.col("record_uri").alias(uri)).distinct(), [uri])
         fresh = build(rows, work, history)
-        stale = None
-        if self.table(name).exists():
-            kind = "content_event_type" if name == "fact_content_events" else "network_event_type"
-            stale = restrict(self.table(name).read().where(F.col(kind).endswith("_delete")), touched.withColumnRenamed("record_uri", uri), [uri])
-        return self._store(name, fresh, stale)
-
-    def _store(self, name: str, fresh: DataFrame, stale: DataFrame | None) -> bool:
-        """Append facts that aren't there; ``stale`` rows are replaced if ``fresh`` has them otherwise.  Keeps both as the change table."""
+        kind = "content_event_type" if name == "fact_content_events" else "network_event_type"
+        return self._store(name, fresh, lambda facts: restrict(facts.where(F.col(kind).endswith("_delete")), touched.withColumnRenamed("record_uri", uri), [uri]))
+
+    def _store(self, name: str, fresh: DataFrame, stale: Callable[[DataFrame], DataFrame] | None) -> bool:
+        """Append facts that aren't there; those that ``stale`` picks are replaced if ``fresh`` has them otherwise.  Keeps both as the change table.
+
+        ``fresh`` has every delete whose state may have changed, so the days of its events hold all facts that are compared or replaced.
+        """
         (key,), table, log, work = KEYS[name], self.table(name), self.table(f"changed_{name}"), self.table(f"fresh_{name}")
         work.overwrite(fresh)  # computed once
         fresh = work.read()
@@ -110,11 +127,12 @@ class Refresh:
             log.overwrite(fresh)
             table.overwrite(fresh)
             return fresh.limit(1).count() > 0
-        current = table.read()
+        current = table.read_beside(fresh)
         wrong = None
         if stale is not None:
             # rows of the present that the run derives differently: gone, or with another state
-            wrong = stale.join(fresh.select(*stale.columns), reduce_equal(stale, fresh), "left_anti")
+            old = stale(current)
+            wrong = old.join(fresh.select(*old.columns), reduce_equal(old, fresh), "left_anti")
             if not wrong.limit(1).count():
                 wrong = None
         if wrong is None:
@@ -126,16 +144,16 @@ class Refresh:
                 return False
             table.append(new)
         else:
-            old = wrong.select(key, *table.partition_by).distinct()
+            old = wrong.select(key, "jetstream_time_us").distinct()
             log.overwrite(exclude(fresh, exclude(current, old, [key]), [key]).unionByName(wrong))
             both = log.read()
             new = both.join(fresh.select(*both.columns), reduce_equal(both, fresh), "left_semi").dropDuplicates([key])
             table.replace(old, new, [key])
         return True
 
-    def dimensions(self, window: RefreshWindow) -> None:
+    def dimensions(self, now: dict[str, DataFrame]) -> None:
         """Rows of touched actors and posts, recomputed from all of their Silver rows."""
-        s, now = self.silver(), self.arrived(window)
+        s = self.silver()
         posts, engagements, follows, deletes = (now[k] for k in URIS)
         keys = affected.post_keys(posts, deletes)
         own = restrict(s["silver_posts"], keys, ["post_uri"])
@@ -227,12 +245,15 @@ class Refresh:
             raise ValueError(f"mode {mode!r} is none of {MODES}")
         report = Report(mode)
 
-        def step(name: str, work: Callable[[RefreshWindow], object]) -> object:
+        def step(name: str, work: Callable[[dict[str, DataFrame]], object], reads_silver: bool = False) -> object:
             last = None if ignore_state else self.states.read(name)
             window = refresh_window(last, self.clock(), self.lookback)
             began = time.monotonic()
-            out = work(window)
-            self.states.write(name, window.end)
+            now, had = {}, None
+            if reads_silver:
+                now, had = self.fed(name, ignore_state or last is None) if self.feed == "loads" else (self.arrived(window), None)
+            out = work(now)
+            self.states.write(name, window.end, had)
             report.seconds[name] = time.monotonic() - began
             return out
 
@@ -242,7 +263,7 @@ class Refresh:
         self.states.write("facts_begun", self.clock())
         for name in KEYS:
             self.table(name).finish()
-        report.has_changes = bool(step("facts", self.facts))
+        report.has_changes = bool(step("facts", self.facts, True))
         if skip_unchanged and not report.has_changes and not behind and not ignore_state and not force and mode != "strict":
             for name in STEPS[1:]:
                 self.states.write(name, self.states.read("facts"))
@@ -251,7 +272,7 @@ class Refresh:
         if behind and not ignore_state:  # an earlier run failed midway: the change tables may not cover it, so all rows count as changed
             for name in FACTS:
                 self.table(f"changed_{name}").overwrite(self.table(name).read())
-        step("dimensions", self.dimensions)
+        step("dimensions", self.dimensions, True)
         for name in STEPS[2:]:
             step(name, lambda _w, name=name: self.mart(name, mode))
         if mode != "fast":

@@ -9,6 +9,10 @@ from dataclasses import dataclass
 from datetime import UTC, datetime, timedelta
 from pathlib import Path
 
+from pyspark.sql import SparkSession
+
+from eventlake.tables import LoadSet
+
 DEFAULT_LOOKBACK = timedelta(hours=2)
 BEGINNING = datetime.min.replace(tzinfo=UTC)
 
@@ -56,29 +60,73 @@ def refresh_window(last: datetime | None, now: datetime, lookback: timedelta = D
 
 
 class StateStore:
-    """One JSON file a job with the end of its last good window, replaced atomically.
+    """One JSON file a job, replaced atomically: the end of its last good window, and the loads of each table that it has had.
 
-    It lives beside the scheduler, on the driver's side; no task reads it.
+    Without a session it lives on the driver's disk; with one it is on any file system that Spark reaches, so another driver goes on from there.
     """
 
-    def __init__(self, folder: str | Path) -> None:
-        self.folder = Path(folder)
+    def __init__(self, folder: str | Path, spark: SparkSession | None = None) -> None:
+        self.spark, self.folder = spark, folder if spark else Path(folder)
+        if spark:
+            self.fs = self._at().getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _at(self, *below: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path("/".join([str(self.folder).rstrip("/"), *below]))
+
+    def _get(self, job: str) -> dict:
+        if not self.spark:
+            path = self.folder / f"{job}.json"
+            return json.loads(path.read_text()) if path.exists() else {}
+        for name in (f"{job}.json", f"{job}.json.new"):  # a write that was cut off left the new one alone
+            if self.fs.exists(self._at(name)):
+                stream = self.fs.open(self._at(name))
+                try:
+                    return json.loads(bytes(stream.readAllBytes()).decode())
+                finally:
+                    stream.close()
+        return {}
+
+    def _put(self, job: str, value: dict) -> None:
+        if not self.spark:
+            self.folder.mkdir(parents=True, exist_ok=True)
+            part = self.folder / f".{job}.{os.getpid()}.part"
+            part.write_text(json.dumps(value))
+            part.replace(self.folder / f"{job}.json")
+            return
+        part, new, at = self._at(f".{job}.part"), self._at(f"{job}.json.new"), self._at(f"{job}.json")
+        stream = self.fs.create(part, True)
+        try:
+            stream.write(bytearray(json.dumps(value).encode()))
+        finally:
+            stream.close()
+        self.fs.delete(new, False)
+        self.fs.rename(part, new)
+        self.fs.delete(at, False)
+        if not self.fs.rename(new, at):
+            raise OSError(f"{at} could not be written")
 
     def read(self, job: str) -> datetime | None:
-        path = self.folder / f"{job}.json"
-        if not path.exists():
-            return None
-        value = json.loads(path.read_text()).get("last_successful_run_at")
+        value = self._get(job).get("last_successful_run_at")
         return None if value is None else _aware(datetime.fromisoformat(value), "stored time")
 
-    def write(self, job: str, at: datetime) -> None:
-        self.folder.mkdir(parents=True, exist_ok=True)
-        part = self.folder / f".{job}.{os.getpid()}.part"
-        part.write_text(json.dumps({"last_successful_run_at": _aware(at, "run time").isoformat()}))
-        part.replace(self.folder / f"{job}.json")
+    def write(self, job: str, at: datetime, loads: Mapping[str, LoadSet] | None = None) -> None:
+        """The end of a good run, and the loads it has had if given; else those stay as they were."""
+        had = {k: v.stored() for k, v in loads.items()} if loads is not None else self._get(job).get("loads", {})
+        self._put(job, {"last_successful_run_at": _aware(at, "run time").isoformat(), "loads": had})
+
+    def loads(self, job: str, table: str) -> LoadSet:
+        return LoadSet(self._get(job).get("loads", {}).get(table))
+
+    def jobs(self) -> list[str]:
+        if not self.spark:
+            return sorted(f.stem for f in self.folder.glob("*.json"))
+        names = [s.getPath().getName() for s in self.fs.listStatus(self._at())] if self.fs.exists(self._at()) else []
+        return sorted({n.split(".json")[0] for n in names if not n.startswith(".")})
 
     def clear(self) -> list[str]:
-        files = sorted(self.folder.glob("*.json"))
-        for f in files:
-            f.unlink()
-        return [f.stem for f in files]
+        jobs = self.jobs()
+        if self.spark:
+            self.fs.delete(self._at(), True)
+        for job in [] if self.spark else jobs:
+            (self.folder / f"{job}.json").unlink()
+        return jobs

@@ -63,7 +63,12 @@ def kafka_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(is_commit, F.col("_collection")).alias("collection"), F.when(is_commit, F.col("_operation")).alias("operation"),
         did(F.col("user_id")).alias("repository_did"), F.col("_us").alias("jetstream_time_us")))
     payload = F.to_json(F.struct(did(F.col("user_id")).alias("did"), F.col("_us").alias("time_us"), F.col("_kind").alias("kind")))
-    payload = F.concat(unclosed(payload), F.when(is_commit, F.concat(F.lit(',"commit":'), F.col("_commit"))).otherwise(""), F.lit("}"))
+    who, active = did(F.col("user_id")), n % 3 != 0
+    handle = F.concat(F.lit("u"), F.col("user_id").cast("string"), F.lit("-"), (n % 3).cast("string"), F.lit(".example"))
+    identity = F.to_json(F.struct(who.alias("did"), handle.alias("handle")))
+    account = F.to_json(F.struct(who.alias("did"), active.alias("active"), F.when(~active, F.when(n % 2 == 0, "deactivated").otherwise("suspended")).alias("status")))
+    body = F.when(is_commit, F.concat(F.lit(',"commit":'), F.col("_commit"))).when(F.col("_kind") == "identity", F.concat(F.lit(',"identity":'), identity))
+    payload = F.concat(unclosed(payload), body.otherwise(F.concat(F.lit(',"account":'), account)), F.lit("}"))
     value = F.concat(unclosed(head), F.lit(',"payload":'), payload, F.lit("}"))
     return e.select(
         did(F.col("user_id")).alias("key"), value.alias("value"), F.lit("raw").alias("topic"), (F.col("user_id") % 3).cast("int").alias("partition"),
