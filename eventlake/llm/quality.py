@@ -1,4 +1,8 @@
-"""Quality classifier: random-indexing word vectors pooled per document, then a two-layer network."""
+"""Quality classifier: random-indexing word vectors pooled per document, then a two-layer network.
+
+A text is two streams of tokens, its words and their forms (how each is written, and whether it was there before).  Either has vectors of its own from the
+contexts in all documents, and pooled vectors are all that the network sees.
+"""
 
 from __future__ import annotations
 
@@ -9,19 +13,23 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import WordHashes, mixed, small_batches, tidy
 
-TOKEN = re.compile(r"\w+|[^\w\s]+")
-#: Words are hashed to so many rows of so many dimensions; an index vector has SPARSE entries of +-1; contexts reach REACH words to each side.
-WORDS, DIMS, SPARSE, REACH = 8192, 32, 4, 2
-#: Rows of the word table that are added up together.
+TOKEN = re.compile(r"\w+|[^\w\s]|\n+")
+#: Words are hashed to so many rows of so many dimensions, and their forms to further ones, four for each of FORMS // 4 shapes: new in its text, met before
+#: there, the same as the word before.  An index vector has SPARSE entries of +-1; contexts reach REACH tokens to each side.
+WORDS, FORMS, DIMS, SPARSE, REACH = 8192, 1024, 64, 4, 2
+ROWS = WORDS + FORMS
+#: Rows of the table that are added up together.
 SLAB = 128
 #: Labelled rows that the network is fitted on, at most about so many, chosen by a hash of doc_id.
 MAX_LABELLED = 20_000
-SURFACE = 9
+#: Pools of a text: the mean of its word vectors, and mean and spread of its form vectors.
+POOLS = 3
 HIDDEN, EPOCHS, BATCH, RATE, DECAY = 32, 40, 256, 3e-3, 1e-4
 THRESHOLD = 0.3
 
@@ -31,36 +39,62 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(True))
 
 
-def tokens(texts: list[str | None], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
-    """Word rows of all texts, and where each text ends."""
-    found = [hashes.of(TOKEN.findall((t or "").lower())) for t in texts]
+def shape(token: str) -> str:
+    """The form of a token: how it is written and how long it is, or the mark that it is."""
+    if not (token[0].isalnum() or token[0] == "_"):
+        return token[:2]
+    cases = (token.islower(), token[:1].isupper() and not token[1:].upper() == token[1:] or len(token) == 1 and token.isupper(), token.isupper(), token.isdigit(), any(c.isdigit() for c in token))
+    kind = cases.index(True) if True in cases else len(cases)
+    return f"{kind}{'' if token.isascii() else '+'}:{min(len(token), 16)}"
+
+
+class TokenRows(WordHashes):
+    """token -> the row of its word, and its shape above 32 bits."""
+
+    def __missing__(self, token: str) -> int:
+        if len(self) >= self.LIMIT:
+            self.clear()
+        value = self[token] = xxhash.xxh64_intdigest(token.lower()) % WORDS | (xxhash.xxh64_intdigest(shape(token)) % (FORMS // 4)) << 32
+        return value
+
+
+def tokens(texts: list[str | None], rows: TokenRows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word rows and form rows of all texts, and where each text ends."""
+    found = [rows.of(TOKEN.findall(t or "")).astype(np.int64) for t in texts]
     ends = np.cumsum([len(x) for x in found])
-    return np.concatenate([*found, np.zeros(0, np.uint64)]), ends
+    both = np.concatenate([*found, np.zeros(0, np.int64)])
+    word = both & 0xFFFFFFFF
+    key = np.repeat(np.arange(len(found)), np.diff(ends, prepend=0)) * WORDS + word
+    order = np.argsort(key, kind="stable")
+    again = np.zeros(len(key), np.int64)
+    again[order[1:]] = key[order[1:]] == key[order[:-1]]
+    again[1:][key[1:] == key[:-1]] = 2
+    return word, WORDS + (both >> 32) * 4 + again, ends
 
 
 def index_vectors() -> tuple[np.ndarray, np.ndarray]:
-    """Places and signs of the sparse random index vector of every word row."""
-    k = np.arange(WORDS * SPARSE, dtype=np.uint64)
+    """Places and signs of the sparse random index vector of every row."""
+    k = np.arange(ROWS * SPARSE, dtype=np.uint64)
     bits = mixed(mixed(k + np.uint64(17)))
-    return (bits % np.uint64(DIMS)).astype(np.int64).reshape(WORDS, SPARSE), np.where(bits >> np.uint64(63), 1.0, -1.0).reshape(WORDS, SPARSE)
+    return (bits % np.uint64(DIMS)).astype(np.int64).reshape(ROWS, SPARSE), np.where(bits >> np.uint64(63), 1.0, -1.0).reshape(ROWS, SPARSE)
 
 
 def add_contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(slab, sums) of the context vectors, and of word counts in the last column, over a task's texts."""
-    hashes, (place, sign) = WordHashes(), index_vectors()
-    total = np.zeros((WORDS, DIMS + 1))
+    """(slab, sums) of the context vectors, and of token counts in the last column, over a task's texts; words have words as context, forms forms."""
+    known, (place, sign) = TokenRows(), index_vectors()
+    total = np.zeros((ROWS, DIMS + 1))
     for batch in batches:
-        words, ends = tokens(list(batch["text"]), hashes)
-        words = (words % np.uint64(WORDS)).astype(np.int64)
-        doc = np.searchsorted(ends, np.arange(len(words)), side="right")
-        total[:, DIMS] += np.bincount(words, minlength=WORDS)
-        for reach in range(1, REACH + 1):
-            near = doc[reach:] == doc[:-reach]
-            left, right = words[:-reach][near], words[reach:][near]
-            for a, b in ((left, right), (right, left)):
+        *streams, ends = tokens(list(batch["text"]), known)
+        text = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+        for rows in streams:
+            total[:, DIMS] += np.bincount(rows, minlength=ROWS)
+            for reach in range(1, REACH + 1):
+                near = text[reach:] == text[:-reach]
+                left, right = rows[:-reach][near], rows[reach:][near]
+                of, by = np.concatenate([left, right]), np.concatenate([right, left])
                 for k in range(SPARSE):
-                    total[:, :DIMS] += np.bincount(a * DIMS + place[b, k], weights=sign[b, k], minlength=WORDS * DIMS).reshape(WORDS, DIMS)
-    slabs = [total[k : k + SLAB] for k in range(0, WORDS, SLAB)]
+                    total[:, :DIMS] += np.bincount(of * DIMS + place[by, k], weights=sign[by, k], minlength=ROWS * DIMS).reshape(ROWS, DIMS)
+    slabs = [total[k : k + SLAB] for k in range(0, ROWS, SLAB)]
     yield pd.DataFrame({"slab": range(len(slabs)), "sums": [x.astype("<f8").tobytes() for x in slabs]})
 
 
@@ -74,35 +108,31 @@ def add_slabs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def word_vectors(docs: DataFrame) -> np.ndarray:
-    """WORDS x DIMS vectors from the contexts in all of ``docs``; what reaches the driver is this table, of fixed size."""
-    parts = docs.select("text").mapInPandas(tidy(add_contexts), "slab int, sums binary").repartition(WORDS // SLAB, "slab")
-    table = np.zeros((WORDS, DIMS + 1))
+    """ROWS x DIMS vectors from the contexts in all of ``docs``; what reaches the driver is this table, of fixed size."""
+    parts = docs.select("text").mapInPandas(tidy(add_contexts), "slab int, sums binary").repartition(ROWS // SLAB, "slab")
+    table = np.zeros((ROWS, DIMS + 1))
     for row in parts.mapInPandas(tidy(add_slabs), "slab int, sums binary").collect():
         table[row.slab * SLAB : (row.slab + 1) * SLAB] = np.frombuffer(row.sums, "<f8").reshape(SLAB, DIMS + 1)
     vectors, counts = table[:, :DIMS], table[:, DIMS]
     vectors = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
-    share = counts / max(1.0, counts.sum())
+    share = 2 * counts / max(1.0, counts.sum())  # of words, and of forms
     return (vectors * (1e-3 / (1e-3 + share))[:, None]).astype(np.float32)  # frequent words count for less
 
 
-def features(texts: list[str | None], vectors: np.ndarray, hashes: WordHashes) -> np.ndarray:
-    """Mean word vector and surface measures of each text; zeros for an empty one."""
-    words, ends = tokens(texts, hashes)
-    out = np.zeros((len(texts), DIMS + SURFACE), np.float32)
-    rows = (words % np.uint64(WORDS)).astype(np.int64)
+def features(texts: list[str | None], vectors: np.ndarray, known: TokenRows) -> np.ndarray:
+    """The pooled vectors of each text; zeros for one without tokens."""
+    words, forms, ends = tokens(texts, known)
+    out = np.zeros((len(texts), POOLS * DIMS), np.float32)
+    own = vectors[WORDS:].astype(np.float64)
+    squares = own * own
     start = 0
-    for k, (end, text) in enumerate(zip(ends, texts, strict=True)):
-        if end == start:
-            continue
-        own = words[start:end]
-        out[k, :DIMS] = vectors[rows[start:end]].mean(axis=0)
-        data = np.frombuffer(text.encode(), np.uint8)
-        kinds = np.bincount(data, minlength=256) / len(data)
-        out[k, DIMS:] = [
-            len(np.unique(own)) / len(own), (own[1:] == own[:-1]).mean() if len(own) > 1 else 0.0, len(own) / len(data),
-            kinds[65:91].sum(), kinds[48:58].sum(), kinds[10], kinds[33:48].sum() + kinds[58:65].sum() + kinds[91:97].sum() + kinds[123:127].sum(),
-            kinds[128:].sum(), np.log(len(own)) / 10,
-        ]
+    for k, end in enumerate(ends):
+        if end > start:
+            share = np.bincount(forms[start:end] - WORDS, minlength=FORMS) / (end - start)
+            mean = share @ own
+            out[k, :DIMS] = vectors[words[start:end]].mean(axis=0)
+            out[k, DIMS : 2 * DIMS] = mean
+            out[k, 2 * DIMS :] = np.sqrt(np.maximum(share @ squares - mean * mean, 0))
         start = end
     return out
 
@@ -167,18 +197,18 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
     marked = marked.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
+        known = TokenRows()
         for batch in batches:
-            x = features(list(batch["text"]), vectors, hashes)
+            x = features(list(batch["text"]), vectors, known)
             yield pd.DataFrame({"doc_id": batch["doc_id"], "quality": batch["quality"], "x": [row.tobytes() for row in x]})
 
-    # the sample's ids have a bound, and so has what comes back: one row of under 200 bytes an id, however many texts share it
+    # the sample's ids have a bound, and so has what comes back: one row of under a kilobyte an id, however many texts share it
     sample = docs.select("doc_id", "text").join(F.broadcast(marked), "doc_id").mapInPandas(tidy(run), "doc_id long, quality double, x binary")
     sample = sample.groupBy("doc_id").agg(F.min(F.struct("quality", "x")).alias("s")).select("doc_id", "s.*").toPandas()
     sample["x"] = sample["x"].map(bytes)
     sample = sample.sort_values(["doc_id", "x"])
     if not len(sample):
-        width = DIMS + SURFACE
+        width = POOLS * DIMS
         return Model(vectors, np.zeros(width), np.ones(width), [np.zeros((width, HIDDEN)), np.zeros(HIDDEN), np.zeros(HIDDEN), np.zeros(1)], 1.0)
     x = np.frombuffer(b"".join(sample["x"]), np.float32).reshape(len(sample), -1).astype(np.float64)
     return train(x, sample["quality"].to_numpy(), vectors)
@@ -190,9 +220,9 @@ def scored(docs: DataFrame, model: Model, keep: list[str], column: str = "score"
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, model = WordHashes(), shared.value
+        known, model = TokenRows(), shared.value
         for batch in batches:
-            score = model.scores(features(batch.column("text").to_pylist(), model.vectors, hashes))
+            score = model.scores(features(batch.column("text").to_pylist(), model.vectors, known))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(score, pa.float64())], [*keep, column])
 
     fields = {f.name: f for f in docs.schema.fields}
