@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ from .words import Cut, Cutter, Sums, groups, totals
 LONGEST, LEAST, TOP = 5, 100, 2000
 #: Bits of a filter (8 MB): its size doesn't depend on the data, only how much it leaves out does.
 BITS = 1 << 26
-WORDS = [f"w{k}" for k in range(LONGEST)]
+PROJECTED = "lang string, prefix binary, rests array<binary>, times array<long>"
 CUTTER = Cutter(b" \t", b".,;:!?\n\x0b\x0c\r")
 
 
@@ -96,87 +97,160 @@ def count_pairs(frequent) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
     return run
 
 
+def alike(columns: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of distinct rows of ``columns`` (-1 is a value too; all are under ``width``) and how often each occurs."""
+    if not len(columns[0]):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    high, low = np.zeros((2, len(columns[0])), np.int64)
+    if (width + 1) ** 3 < 1 << 63:
+        for c in columns[:3]:
+            high = high * (width + 1) + c + 1
+        for c in columns[3:]:
+            low = low * (width + 1) + c + 1
+    else:
+        low = np.unique(np.column_stack(columns), axis=0, return_inverse=True)[1].ravel()
+    order = np.lexsort((low, high))
+    new = np.concatenate([[True], (high[order][1:] != high[order][:-1]) | (low[order][1:] != low[order][:-1])])
+    first = np.flatnonzero(new)
+    return order[first], np.diff(np.append(first, len(order)))
+
+
+def by_prefix(lang: pa.Array, prefix: pa.Array, rest: pa.Array, n: np.ndarray) -> pa.RecordBatch:
+    """One row for each (lang, prefix): what follows it in each of its occurrences, and how often."""
+    lang_code, prefix_code = (x.dictionary_encode().indices.to_numpy().astype(np.int64) for x in (lang, prefix))
+    key = lang_code * (prefix_code.max(initial=0) + 1) + prefix_code
+    order = np.argsort(key, kind="stable")
+    first = np.flatnonzero(np.diff(key[order], prepend=-1))
+    offsets = pa.array(np.append(first, len(order)).astype(np.int32))
+    head = pa.array(order[first])
+    lists = [pa.ListArray.from_arrays(offsets, x) for x in (rest.take(pa.array(order)), pa.array(n[order]))]
+    return pa.RecordBatch.from_arrays([lang.take(head), prefix.take(head), *lists], names=["lang", "prefix", "rests", "times"])
+
+
+def next_word(rest: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """The first word of each run, and what is left of it ('' if nothing)."""
+    both = pc.split_pattern(rest, " ", max_splits=1)
+    flat, offsets = both.flatten(), both.offsets.to_numpy()
+    last = pa.array(offsets[:-1] + 1, mask=np.diff(offsets) < 2)
+    return flat.take(pa.array(offsets[:-1])), pc.fill_null(flat.take(last), pa.scalar(b"", flat.type))
+
+
 def project(frequent, common) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """lang, w0 to w4, n: each occurrence that can begin a frequent phrase with the words it can reach ('' beyond), equal ones summed up."""
+    """lang, prefix, rests, times: each word's occurrences that can begin a frequent phrase, with the words after it as far as one can reach.
+
+    Equal occurrences of a task are summed up; its rows hold all those of one first word.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = Sums(["lang", *WORDS], ["n"], 300_000)
+        sums = Sums(["lang", "run"], ["n"], 700_000, 1 << 20)
+
+        def packed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in parts:
+                if len(part):
+                    yield by_prefix(part["lang"], *next_word(part["run"]), part["n"].to_numpy())
+
         for batch in batches:
             b = Batch(batch)
             at, hashes = pairs(b, frequent.value)
             at = at[passes(common.value, hashes)]
             goes_on = np.zeros(len(b.cut.code) + LONGEST, bool)
             goes_on[at] = True
-            rows = np.full((len(at), LONGEST), len(b.cut.words), np.int64)
-            rows[:, 0] = b.cut.code[at]
-            there = np.ones(len(at), bool)
+            there, columns = np.ones(len(at), bool), [b.lang[at], b.cut.code[at].astype(np.int64)]
             for k in range(1, LONGEST):
                 there = there & goes_on[at + k - 1]
-                rows[there, k] = b.cut.code[at[there] + k]
-            rows = np.column_stack([b.lang[at], rows])
-            rows, n = np.unique(rows, axis=0, return_counts=True) if len(rows) else (rows, np.zeros(0, np.int64))
-            words = pa.concat_arrays([b.cut.words, pa.array([b""], pa.large_binary())])
-            yield from sums.add(pa.table({"lang": b.names(rows[:, 0]), **{w: words.take(pa.array(rows[:, k + 1])).cast(pa.binary()) for k, w in enumerate(WORDS)}, "n": n}))
-        yield from sums.rest()
+                code = np.full(len(at), -1, np.int64)
+                code[there] = b.cut.code[at[there] + k]
+                columns.append(code)
+            place, n = alike(columns, max(len(b.cut.words), len(b.langs)))
+            words = [b.cut.words.take(pa.array(c[place], mask=c[place] < 0)) for c in columns[1:]]
+            runs = pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.large_binary()), null_handling="skip")
+            yield from packed(sums.add(pa.table({"lang": b.names(columns[0][place]), "run": runs.cast(pa.binary()), "n": n})))
+        yield from packed(sums.rest())
 
     return run
 
 
-def grow(least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """lang, phrase, a of the frequent phrases that begin with each prefix of (lang, depth, prefix)."""
+def deepen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Prefixes longer by a word; occurrences that reach no further go."""
+    for batch in batches:
+        flat, n = batch["rests"].flatten(), batch["times"].flatten().to_numpy()
+        parent = pc.list_parent_indices(batch["rests"]).to_numpy()
+        on = np.flatnonzero(pc.binary_length(flat).to_numpy(zero_copy_only=False) > 0)
+        if len(on):
+            at = pa.array(parent[on])
+            word, rest = next_word(flat.take(pa.array(on)))
+            yield by_prefix(batch["lang"].take(at), pc.binary_join_element_wise(batch["prefix"].take(at), word, pa.scalar(b" ")), rest, n[on])
+
+
+class Projection:
+    """The occurrences of one prefix: the words after it by place as codes, -1 past the end of a run."""
+
+    def __init__(self, rows: pa.Table, depth: int) -> None:
+        self.depth, self.n = depth, rows["times"].combine_chunks().flatten().to_numpy()
+        lists = pc.split_pattern(rows["rests"].combine_chunks().flatten(), " ")
+        flat, offsets = lists.flatten().dictionary_encode(), lists.offsets.to_numpy().astype(np.int64)
+        self.words, code = flat.dictionary, flat.indices.to_numpy().astype(np.int64)
+        code[pc.binary_length(flat.dictionary).to_numpy(zero_copy_only=False)[code] == 0] = -1
+        self.codes = []
+        for k in range(LONGEST - depth):
+            column = np.full(len(self.n), -1, np.int64)
+            there = np.flatnonzero(np.diff(offsets) > k)
+            column[there] = code[offsets[there] + k]
+            self.codes.append(column)
+
+    def grow(self, phrase: bytes, length: int, pointers: np.ndarray, least: int) -> Iterator[tuple[bytes, int]]:
+        """The frequent phrases that begin with ``phrase``, whose occurrences ``pointers`` are, depth first."""
+        if length == LONGEST:
+            return
+        codes = self.codes[length - self.depth]
+        order = pointers[np.argsort(codes[pointers], kind="stable")]
+        code = codes[order]
+        first = np.flatnonzero(np.diff(code, prepend=-2))
+        times = np.add.reduceat(self.n[order], first)
+        ends = np.append(first[1:], len(code))
+        for j in np.flatnonzero((times >= least) & (code[first] >= 0)).tolist():
+            longer = phrase + b" " + self.words[int(code[first[j]])].as_py()
+            yield longer, int(times[j])
+            yield from self.grow(longer, length + 1, order[first[j] : ends[j]], least)
+
+
+def grow(depth: int, least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """lang, phrase, a of the frequent phrases that begin with each prefix of ``depth`` words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (lang, depth, _), rows in groups(batches, ["lang", "depth", "prefix"]):
-            n = rows["n"].to_numpy()
-            if n.sum() < least:
+        for (lang, prefix), rows in groups(batches, ["lang", "prefix"]):
+            own = Projection(rows, depth)
+            total = int(own.n.sum())
+            if total < least:
                 continue
-            columns = [rows[w].combine_chunks().dictionary_encode() for w in WORDS]
-            codes, words = [c.indices.to_numpy() for c in columns], [c.dictionary.to_pylist() for c in columns]
-            found: list[tuple[str, int]] = []
-
-            def extend(pointers: np.ndarray, phrase: list[str], codes=codes, words=words, n=n, found=found) -> None:
-                """``pointers`` are the occurrences of ``phrase``."""
-                k = len(phrase)
-                if k == LONGEST:
-                    return
-                order = pointers[np.argsort(codes[k][pointers], kind="stable")]
-                code = codes[k][order]
-                first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
-                for a, b, times in zip(first.tolist(), [*first[1:].tolist(), len(code)], np.add.reduceat(n[order], first).tolist(), strict=True):
-                    word = words[k][code[a]]
-                    if word and times >= least:
-                        found.append((" ".join([*phrase, word]), times))
-                        extend(order[a:b], [*phrase, word])
-
-            prefix = [words[k][codes[k][0]] for k in range(depth)]
-            if prefix[-1]:  # else these occurrences reach no further than the words before
-                if depth > 1:
-                    found.append((" ".join(prefix), int(n.sum())))
-                extend(np.arange(len(n)), prefix)
+            found = [(prefix, total)] * (depth > 1) + list(own.grow(prefix, depth, np.arange(len(own.n)), least))
             if found:
                 phrases, times = zip(*found, strict=True)
-                yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(found), pa.string()), "phrase": pa.array(phrases, pa.string()), "a": pa.array(times, pa.int64())})
+                yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(found), pa.string()), "phrase": pa.array(phrases, pa.binary()), "a": pa.array(times, pa.int64())})
 
     return run
 
 
-def frequent_phrases(rows: DataFrame, least: int) -> DataFrame:
-    """lang, phrase, a of the phrases of two words or more with ``least`` occurrences; ``rows`` are projections, read several times."""
-    limit = max(1, rows.count() // HOT)
-    dealt, large = rows.withColumn("depth", F.lit(1)), []
-    for depth in range(1, LONGEST - 1):
-        key = ["lang", *WORDS[:depth]]
-        hot = rows.groupBy(*key).agg(F.count("*").alias("_rows"), F.sum("n").alias("a")).where(F.col("_rows") > limit)  # under HOT of them
+def frequent_phrases(rows: DataFrame, scratch: Scratch, least: int) -> DataFrame:
+    """lang, phrase, a of the phrases of two words or more with ``least`` occurrences; ``rows`` are projections by first word, read several times."""
+    held = F.sum(F.size("rests"))
+    limit, found = max(1, (rows.agg(held).first()[0] or 0) // HOT), []
+    for depth in range(1, LONGEST):
+        hot = None
+        if depth < LONGEST - 1:
+            sizes = rows.groupBy("lang", "prefix").agg(held.alias("held"), F.sum(F.aggregate("times", F.lit(0).cast("long"), lambda x, n: x + n)).alias("a"))
+            hot = scratch.keep(sizes.where(F.col("held") > limit), f"hot{depth}")  # under HOT of them
+        cold = rows if hot is None else rows.join(F.broadcast(hot), ["lang", "prefix"], "left_anti")
+        found.append(cold.repartition("lang", "prefix").sortWithinPartitions("lang", "prefix").mapInArrow(tidy(grow(depth, least)), "lang string, phrase binary, a long"))
+        if hot is None or not hot.limit(1).count():
+            break
         if depth > 1:
-            large.append(hot.where((F.col("a") >= least) & (F.col(WORDS[depth - 1]) != "")).select("lang", F.concat_ws(" ", *WORDS[:depth]).alias("phrase"), "a"))
-        hot = hot.select(*key, F.lit(1).alias("_hot"))
-        dealt = dealt.join(F.broadcast(hot), key, "left").withColumn("depth", F.col("depth") + F.coalesce("_hot", F.lit(0))).drop("_hot")
-    prefix = F.concat_ws(" ", *[F.when(F.col("depth") > k, F.col(w)) for k, w in enumerate(WORDS)])
-    tasks = dealt.withColumn("prefix", prefix).repartition("lang", "depth", "prefix").sortWithinPartitions("lang", "depth", "prefix")
-    out = tasks.mapInArrow(tidy(grow(least)), "lang string, phrase string, a long")
-    for more in large:
+            found.append(hot.where(F.col("a") >= least).select("lang", F.col("prefix").alias("phrase"), "a"))
+        rows = scratch.keep(rows.join(F.broadcast(hot), ["lang", "prefix"], "left_semi").mapInArrow(tidy(deepen), PROJECTED), f"deeper{depth}")
+    out = found[0]
+    for more in found[1:]:
         out = out.unionByName(more)
-    return out
+    return out.withColumn("phrase", F.col("phrase").cast("string"))
 
 
 def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFrame:
@@ -196,9 +270,8 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
     known = spark.sparkContext.broadcast(bit_filter(frequent.select(F.xxhash64("lang", "word").alias("h"))))
     pair_counts = texts.mapInArrow(tidy(count_pairs(known)), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
     common = spark.sparkContext.broadcast(bit_filter(pair_counts.where(F.col("n") >= least).select("pair")))
-    projected = texts.mapInArrow(tidy(project(known, common)), f"lang string, {', '.join(f'{w} binary' for w in WORDS)}, n long")
-    projected = projected.select("lang", *[F.col(w).cast("string").alias(w) for w in WORDS], "n").groupBy("lang", *WORDS).agg(F.sum("n").alias("n"))
-    phrases = scratch.keep(frequent_phrases(scratch.keep(projected, "projections"), least), "phrases")
+    projected = texts.mapInArrow(tidy(project(known, common)), PROJECTED)
+    phrases = scratch.keep(frequent_phrases(scratch.keep(projected, "projections"), scratch, least), "phrases")
 
     words = F.split("phrase", " ")
     size = F.size(words)

@@ -70,8 +70,8 @@ def totals(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
 class Sums:
     """Partial sums of a task by key columns, handed on once there are many: map-side aggregation in bounded memory."""
 
-    def __init__(self, keys: list[str], values: list[str], most: int = 500_000) -> None:
-        self.keys, self.values, self.most, self.parts, self.n = keys, values, most, [], 0
+    def __init__(self, keys: list[str], values: list[str], most: int = 500_000, chunk: int = 50_000) -> None:
+        self.keys, self.values, self.most, self.chunk, self.parts, self.n = keys, values, most, chunk, [], 0
 
     def add(self, rows: pa.Table) -> Iterator[pa.RecordBatch]:
         self.parts.append(rows)
@@ -89,7 +89,7 @@ class Sums:
     def rest(self) -> Iterator[pa.RecordBatch]:
         if self.parts:
             self._join()
-            yield from self.parts[0].to_batches(max_chunksize=50_000)
+            yield from self.parts[0].combine_chunks().to_batches(max_chunksize=self.chunk)
         self.parts, self.n = [], 0
 
 
