@@ -158,8 +158,16 @@ def first_engagements(lake: Lake) -> DataFrame:
     return activity.first_engagements(activity.engagement_pairs(lake.silver["silver_posts"], lake.silver["silver_engagements"], 24 * 60))
 
 
+def actor_changes(lake: Lake) -> DataFrame:
+    return history.actor_changes(bronze.family(lake.bronze, "identity"), bronze.family(lake.bronze, "account"))
+
+
 def versions(lake: Lake) -> DataFrame:
-    return history.actor_versions(history.actor_changes(bronze.family(lake.bronze, "identity"), bronze.family(lake.bronze, "account")))
+    return history.actor_versions(actor_changes(lake))
+
+
+def account_lifecycle(lake: Lake) -> DataFrame:
+    return history.account_lifecycle(actor_changes(lake))
 
 
 def content_actor_versions(lake: Lake) -> DataFrame:
@@ -208,7 +216,7 @@ QUERIES: dict[str, Callable[[Lake], DataFrame]] = {
     "reply_vs_original": lambda x: serving.reply_vs_original(x.m["post_performance"]), "adhoc_minute_reply": lambda x: serving.minute_reply_counts(x.gold["fact_content_events"], x.gold["dim_posts"]),
     "ttfe_distribution": lambda x: serving.ttfe_distribution(x.m["post_performance"]), "lifecycle_hourly": lambda x: serving.lifecycle_hourly(x.m["content_quality_hourly"]), "engagement_mix": lambda x: serving.engagement_mix(x.gold["fact_engagement_events"]),
     "actor_sessions": lambda x: activity.actor_sessions(commits(x)), "activity_velocity": lambda x: activity.velocity(activity.sliding_counts(commits(x))), "post_first_engagement": first_engagements,
-    "actor_versions": versions, "content_actor_versions": content_actor_versions, "record_lifetimes": lived, "net_record_counts": lambda x: history.net_counts(lived(x)),
+    "actor_versions": versions, "account_lifecycle": account_lifecycle, "content_actor_versions": content_actor_versions, "record_lifetimes": lived, "net_record_counts": lambda x: history.net_counts(lived(x)),
     "spike_levels": spike_levels, "spike_alerts": lambda x: alerts.alerts(spike_levels(x), "collection"),
     "quarantined_events": lambda x: quarantine.rejected(quarantine.judged(commits(x))).select("offset", "collection", "operation", F.concat_ws("; ", "reasons").alias("reasons")),
     "quarantine_counts": lambda x: quarantine.counts(quarantine.judged(commits(x))), "pseudonym_rotation": lambda x: rotation(x.gold["dim_actors"], "actor_did", DEMO_KEYS, 1, 2),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlake.operators.activity import wall
@@ -42,6 +42,27 @@ def actor_versions(changes: DataFrame) -> DataFrame:
         wall(F.timestamp_micros("at_us")).alias("valid_from"), wall(F.timestamp_micros(F.lead("at_us").over(in_time))).alias("valid_to"))
 
 
+def account_state() -> Column:
+    """The state that an event sets: an account event 'active', its status, or 'inactive' without one; an identity event none."""
+    return F.when(F.col("event_kind") == "account", F.when(F.col("is_active"), "active").otherwise(F.coalesce("status", F.lit("inactive"))))
+
+
+def account_lifecycle(changes: DataFrame) -> DataFrame:
+    """actor_did, state, from_us, to_us, seconds: the stretches of an account's life; the last one is open.
+
+    An account that is first seen by an identity event is active.  Events count in the order of their own time; of several at one time the last by kind, state and
+    status does; an event that sets the state that holds already changes nothing.  ``streaming.lifecycle`` gives the same stretches, each when it ends.
+    """
+    rows = changes.where("actor_did IS NOT NULL AND at_us IS NOT NULL").withColumn("sets", account_state())
+    so_far = Window.partitionBy("actor_did").orderBy("at_us", "event_kind", "is_active", "status")
+    known = F.coalesce(F.last("sets", ignorenulls=True).over(so_far.rowsBetween(Window.unboundedPreceding, 0)), F.lit("active"))
+    after = rows.select("actor_did", "at_us", known.alias("state"), F.lead("at_us").over(so_far).alias("next_us")).where("next_us IS NULL OR next_us > at_us")
+    in_time = Window.partitionBy("actor_did").orderBy("at_us")
+    starts = after.withColumn("before", F.lag("state").over(in_time)).where("before IS NULL OR before <> state")
+    ends = starts.select("actor_did", "state", F.col("at_us").alias("from_us"), F.lead("at_us").over(in_time).alias("to_us"))
+    return ends.withColumn("seconds", (F.col("to_us") - F.col("from_us")) / 1e6)
+
+
 def refresh_versions(table: Table, new: DataFrame, changes: DataFrame) -> None:
     """``table`` of versions after ``new`` changes, out of all ``changes``: only the actors of the new ones are derived again."""
     touched = new.select("actor_did").where("actor_did IS NOT NULL").distinct()

@@ -235,6 +235,12 @@ HISTORY = {
     "actor_versions": f", {VERSIONS} SELECT * FROM versions",
     "content_actor_versions": f""", {VERSIONS}, facts AS (SELECT content_event_id, author_did, make_timestamp(jetstream_time_us) AS at FROM f_content)
         SELECT f.*, v.version, v.handle, v.is_active FROM facts f ASOF LEFT JOIN versions v ON v.actor_did = f.author_did AND v.valid_from <= f.at""",
+    "account_lifecycle": f""", changed AS ({CHANGED}), sets AS (SELECT *, CASE event_kind WHEN 'account' THEN CASE WHEN is_active THEN 'active' ELSE coalesce(status, 'inactive') END END AS s FROM changed),
+        known AS (SELECT actor_did, time_us, coalesce(last_value(s IGNORE NULLS) OVER w, 'active') AS state, row_number() OVER w AS n FROM sets
+            WINDOW w AS (PARTITION BY actor_did ORDER BY time_us, event_kind, is_active NULLS FIRST, status NULLS FIRST ROWS UNBOUNDED PRECEDING)),
+        single AS (SELECT * FROM known QUALIFY row_number() OVER (PARTITION BY actor_did, time_us ORDER BY n DESC) = 1),
+        starts AS (SELECT * FROM single QUALIFY lag(state) OVER (PARTITION BY actor_did ORDER BY time_us) IS DISTINCT FROM state)
+        SELECT actor_did, state, time_us AS from_us, lead(time_us) OVER w AS to_us, (lead(time_us) OVER w - time_us) / 1e6 AS seconds FROM starts WINDOW w AS (PARTITION BY actor_did ORDER BY time_us)""",
     "record_lifetimes": f", {LIVED} SELECT record_uri, kind, target, make_timestamp(us) AS started_at, make_timestamp(end_us) AS ended_at, (end_us - us) / 1e6 AS seconds FROM lived WHERE opens",
     "net_record_counts": f""", {LIVED}, steps AS (SELECT target, kind, us AS at_us, 1 AS step FROM lived WHERE opens UNION ALL SELECT target, kind, end_us, -1 FROM lived WHERE opens AND end_us IS NOT NULL),
         summed AS (SELECT target, kind, at_us, sum(step) AS step FROM steps WHERE target IS NOT NULL GROUP BY ALL HAVING sum(step) <> 0)

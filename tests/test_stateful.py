@@ -5,9 +5,9 @@ import random
 import pytest
 from helpers import FOLLOW, LIKE, POST, REPOST, event, messages, rows, subject, uri
 
-from eventlake.operators import activity, bronze, silver
+from eventlake.operators import activity, bronze, history, silver
 from eventlake.sources.readers import stream_bronze
-from eventlake.streaming import stateful
+from eventlake.streaming import lifecycle, stateful
 from eventlake.streaming.lake import ONCE
 
 PEOPLE = [f"did:{x}" for x in "abc"]
@@ -117,6 +117,37 @@ def test_sessions_and_windows_equal_the_batch(spark, tmp_path, name, build):
     assert rows(found) == sorted((r for r in rows(expected) if r not in late), key=str) and held <= 4
 
 
+def lives(seed: int, n: int = 45) -> list[tuple]:
+    """Changes of three accounts over ninety minutes, out of order by up to ten."""
+    r = random.Random(seed)
+    out = []
+    for _ in range(n):
+        us = (r.randrange(90) * 60 + 1_714_557_600) * 1_000_000
+        kind = r.choice(["identity", "account", "account"])
+        state = (None, None) if kind == "identity" else r.choice([(True, None), (False, "suspended"), (False, "deactivated"), (False, None)])
+        out.append((r.choice("abc"), us, kind, "h" if kind == "identity" else None, *state))
+    return sorted(out, key=lambda x: x[1] + r.uniform(0, 600e6))
+
+
+def test_account_lives_equal_the_batch_across_restarts(spark, tmp_path):
+    root, given = f"file://{tmp_path}", lives(6)
+    schema = "actor_did string, at_us long, event_kind string, handle string, is_active boolean, status string"
+    end = [("z", 1_714_557_600_000_000 + 10**12, "identity", "h", None, None)]
+    lifecycle.prepare(spark)
+    for part in (given[:15], given[15:30], given[30:], end):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{root}/changes")
+        rows_in = spark.readStream.schema(schema).parquet(f"{root}/changes")
+        stateful.start(lifecycle.stretches(rows_in, "15 minutes"), f"{root}/lives", f"{root}/check", "lives", ONCE).awaitTermination()
+    batch_rows = history.account_lifecycle(spark.createDataFrame(given, schema))
+    expected = [r for r in rows(batch_rows) if r[3] is not None]
+    assert rows(spark.read.parquet(f"{root}/lives")) == expected and len(expected) > 5
+    last, open_ = {}, {r[0]: r for r in rows(batch_rows) if r[3] is None}
+    for who, state, start, to, _ in sorted(rows(batch_rows), key=lambda r: (r[0], r[2])):
+        assert last.get(who, (None, start))[1] == start and last.get(who, (None,))[0] != state
+        last[who] = (state, to)
+    assert set(open_) == {x[0] for x in given}
+
+
 def plain_sessions(events, gap=10):
     out, by = [], {}
     for e in events:
