@@ -28,6 +28,8 @@ ROWS = WORDS + FORMS
 SLAB = 128
 #: Labelled rows that the network is fitted on, at most about so many, chosen by a hash of doc_id.
 MAX_LABELLED = 20_000
+#: Texts whose forms are pooled at a time.
+TEXTS = 256
 #: Pools of a text: the mean of its word vectors, and mean and spread of its form vectors.
 POOLS = 3
 HIDDEN, EPOCHS, BATCH, RATE, DECAY = 32, 40, 256, 3e-3, 1e-4
@@ -61,7 +63,7 @@ class TokenRows(WordHashes):
 def tokens(texts: list[str | None], rows: TokenRows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word rows and form rows of all texts, and where each text ends."""
     found = [rows.of(TOKEN.findall(t or "")).astype(np.int64) for t in texts]
-    ends = np.cumsum([len(x) for x in found])
+    ends = np.cumsum([len(x) for x in found], dtype=np.int64)
     both = np.concatenate([*found, np.zeros(0, np.int64)])
     word = both & 0xFFFFFFFF
     key = np.repeat(np.arange(len(found)), np.diff(ends, prepend=0)) * WORDS + word
@@ -86,14 +88,15 @@ def add_contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         *streams, ends = tokens(list(batch["text"]), known)
         text = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
-        for rows in streams:
+        for rows, first, width in zip(streams, (0, WORDS), (WORDS, FORMS), strict=True):
             total[:, DIMS] += np.bincount(rows, minlength=ROWS)
-            for reach in range(1, REACH + 1):
-                near = text[reach:] == text[:-reach]
-                left, right = rows[:-reach][near], rows[reach:][near]
-                of, by = np.concatenate([left, right]), np.concatenate([right, left])
-                for k in range(SPARSE):
-                    total[:, :DIMS] += np.bincount(of * DIMS + place[by, k], weights=sign[by, k], minlength=ROWS * DIMS).reshape(ROWS, DIMS)
+            near = [(rows[:-r][same], rows[r:][same]) for r in range(1, REACH + 1) for same in (text[r:] == text[:-r],)]
+            of = np.concatenate([x for left, right in near for x in (left, right)])
+            by = np.concatenate([x for left, right in near for x in (right, left)])
+            start = (of - first) * DIMS
+            for k in range(SPARSE):  # the table is long, so all pairs of a batch are summed up at once
+                sums = np.bincount(start + place[by, k], weights=sign[by, k], minlength=width * DIMS)
+                total[first : first + width, :DIMS] += sums.reshape(width, DIMS)
     slabs = [total[k : k + SLAB] for k in range(0, ROWS, SLAB)]
     yield pd.DataFrame({"slab": range(len(slabs)), "sums": [x.astype("<f8").tobytes() for x in slabs]})
 
@@ -122,18 +125,20 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
 def features(texts: list[str | None], vectors: np.ndarray, known: TokenRows) -> np.ndarray:
     """The pooled vectors of each text; zeros for one without tokens."""
     words, forms, ends = tokens(texts, known)
+    sizes = np.diff(ends, prepend=0)
     out = np.zeros((len(texts), POOLS * DIMS), np.float32)
     own = vectors[WORDS:].astype(np.float64)
-    squares = own * own
-    start = 0
-    for k, end in enumerate(ends):
-        if end > start:
-            share = np.bincount(forms[start:end] - WORDS, minlength=FORMS) / (end - start)
-            mean = share @ own
-            out[k, :DIMS] = vectors[words[start:end]].mean(axis=0)
-            out[k, DIMS : 2 * DIMS] = mean
-            out[k, 2 * DIMS :] = np.sqrt(np.maximum(share @ squares - mean * mean, 0))
-        start = end
+    own = np.hstack([own, own * own])
+    for k in range(0, len(texts), TEXTS):  # forms are few: their shares times their vectors
+        n = sizes[k : k + TEXTS]
+        end = ends[min(k + TEXTS, len(texts)) - 1]
+        text = np.repeat(np.arange(len(n)), n)
+        counts = np.bincount(text * FORMS + forms[end - n.sum() : end] - WORDS, minlength=len(n) * FORMS).reshape(len(n), FORMS)
+        mean, square = np.hsplit(counts / np.maximum(n, 1)[:, None] @ own, 2)
+        out[k : k + TEXTS, DIMS : 2 * DIMS] = mean
+        out[k : k + TEXTS, 2 * DIMS :] = np.sqrt(np.maximum(square - mean * mean, 0))
+    for k in np.flatnonzero(sizes):
+        out[k, :DIMS] = vectors[words[ends[k] - sizes[k] : ends[k]]].mean(axis=0)
     return out
 
 
