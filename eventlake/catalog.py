@@ -63,13 +63,13 @@ class Lake:
         self.spark, self.sf_dir = spark, sf_dir
 
     @cached_property
-    def messages(self) -> DataFrame:
-        """The topic as landed: JSON is a stored column, not an expression that each use would evaluate again."""
-        return stored(self.spark, self.sf_dir, "landing", Built(["messages"], lambda _: kafka_messages(self.spark, self.sf_dir)))["messages"]
+    def bronze(self) -> DataFrame:
+        """Bronze as landed: JSON and the fields hoisted from it are stored columns, not expressions that each use would evaluate again."""
+        return stored(self.spark, self.sf_dir, "landing", Built(["bronze"], lambda _: bronze.to_bronze(kafka_messages(self.spark, self.sf_dir))))["bronze"]
 
     @cached_property
-    def bronze(self) -> DataFrame:
-        return bronze.to_bronze(self.messages)
+    def messages(self) -> DataFrame:
+        return bronze.to_messages(self.bronze)
 
     @cached_property
     def s(self) -> Built:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 Name = str | Column
@@ -12,6 +12,11 @@ def _col(x: Name) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a column that is evaluated once a row: filters are not pushed below a generator, so none repeats ``value`` in front of it."""
+    return df.select("*", F.inline_outer(F.array(F.struct(value.alias(name)))))
+
+
 def utc(text: Name) -> Column:
     """An ISO string as UTC wall-clock time; null if malformed (ANSI parsing would raise)."""
     return F.convert_timezone(F.current_timezone(), F.lit("UTC"), _col(text).try_cast("timestamp").cast("timestamp_ntz"))

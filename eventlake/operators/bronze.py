@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.functions.columns import _col
+from eventlake.functions.columns import _col, once
 from eventlake.model import ENVELOPE, RAW_EVENT, SCHEMA_VERSION, SOURCE
 
 FAMILIES = ("commit", "identity", "account")
@@ -43,15 +43,20 @@ def normalize_events(messages: DataFrame, value: str = "value") -> DataFrame:
 def to_bronze(messages: DataFrame) -> DataFrame:
     """Bronze rows of topic messages (key, value, topic, partition, offset, timestamp); ingest time is the broker's."""
     stamp = F.col("timestamp").cast("timestamp")
-    return messages.select(
-        F.col("key").cast("string").alias("message_key"), F.col("value").cast("string").alias("message_value"), F.from_json(F.col("value").cast("string"), ENVELOPE).alias("e"),
+    return once(messages.select(
+        F.col("key").cast("string").alias("message_key"), F.col("value").cast("string").alias("message_value"),
         "topic", "partition", "offset", stamp.alias("kafka_timestamp"), F.to_date(stamp).alias("ingest_date"), F.date_format(stamp, "HH").alias("ingest_hour"),
-    ).select(
+    ), "e", F.from_json("message_value", ENVELOPE)).select(
         "message_key", "message_value", "e.schema_version", "e.source", "e.event_kind", "e.received_at", "e.operation", "e.repository_did", "e.jetstream_time_us",
         "topic", "partition", "offset", "kafka_timestamp", "ingest_date", "ingest_hour", "e.collection",
     )
 
 
+def to_messages(bronze: DataFrame) -> DataFrame:
+    """The topic messages that Bronze rows were made from."""
+    return bronze.select(F.col("message_key").alias("key"), F.col("message_value").alias("value"), "topic", "partition", "offset", F.col("kafka_timestamp").alias("timestamp"))
+
+
 def family(bronze: DataFrame, kind: str) -> DataFrame:
     """Rows of one event kind; other and missing kinds belong to no family.  Only commits have a collection."""
     rows = bronze.where(F.col("event_kind") == kind)

@@ -7,13 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.functions.columns import at_uri
+from eventlake.functions.columns import at_uri, once
 from eventlake.model import FOLLOW, LIKE, POST, REPOST, envelope_schema
 
 
 def _parsed(bronze: DataFrame, condition, family: str) -> DataFrame:
     """Matching rows with their commit; the filter comes first, so other rows are never parsed."""
-    return bronze.where(condition).withColumn("commit", F.from_json("message_value", envelope_schema(family))["payload"]["commit"])
+    return once(bronze.where(condition), "commit", F.from_json("message_value", envelope_schema(family))["payload"]["commit"])
 
 
 def posts(bronze: DataFrame) -> DataFrame:

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from eventlake.functions.columns import at_uri
 from eventlake.model import FOLLOW, LIKE, POST, REPOST, SCHEMA_VERSION, SOURCE
 
+#: Bytes of the table's files for a task; a message is many times its row.
+SPLIT = 2 << 20
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
@@ -30,8 +32,10 @@ def unclosed(text: Column) -> Column:
 def kafka_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """key, value (envelope JSON), topic, partition, offset, timestamp: what the ingest topic would hold."""
     e = spark.read.parquet(f"{sf_dir}/events.parquet")
-    if e.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:  # one small file is one task; building JSON is the work here
-        e = e.repartition(spark.sparkContext.defaultParallelism)
+    # Building JSON is the work here, so rows are dealt out by content: how many splits of a file hold rows depends on its row groups.
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/events.parquet")
+    held = path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    e = e.repartition(max(spark.sparkContext.defaultParallelism, held // SPLIT), *e.columns)
     e = e.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
     e = e.withColumn("b", F.col("user_id") - F.col("user_id") % 10)
     k, b, n, kind = F.col("k"), F.col("b"), F.col("event_id"), F.col("event_type")

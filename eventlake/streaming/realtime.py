@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from eventlake.functions.columns import utc
+from eventlake.functions.columns import once, utc
 from eventlake.model import FOLLOW, LIKE, POST, REPOST
 from eventlake.streaming.lake import EVERY_MINUTE, Trigger
 
@@ -31,7 +31,7 @@ def classified(messages: DataFrame) -> DataFrame:
 
     A delete of any collection is a deleted record; other operations on unknown collections are dropped.
     """
-    e = messages.select(F.from_json(F.col("value").cast("string"), ENVELOPE).alias("e"), F.col("timestamp").cast("timestamp_ntz").alias("at")).where(F.col("e.event_kind") == "commit")
+    e = once(messages.select(F.col("value").cast("string").alias("value"), F.col("timestamp").cast("timestamp_ntz").alias("at")), "e", F.from_json("value", ENVELOPE)).where(F.col("e.event_kind") == "commit")
     known = F.when(F.col("collection") == POST, "post").when(F.col("collection") == LIKE, "like").when(F.col("collection") == REPOST, "repost").when(F.col("collection") == FOLLOW, "follow")
     rows = e.select(F.coalesce(utc("e.received_at"), F.col("at")).alias("event_timestamp"), "e.collection", "e.operation", F.col("e.payload.commit.record.reply.root.uri").alias("reply_root_uri"))
     return rows.withColumn("event_type", F.when(F.col("operation") == "delete", "deleted_record").otherwise(known)).where(F.col("event_type").isNotNull())
