@@ -25,6 +25,8 @@ from .words import Cut, Cutter, Sums, groups, totals
 LONGEST, LEAST, TOP = 5, 100, 2000
 #: Bits of a filter (8 MB): its size doesn't depend on the data, only how much it leaves out does.
 BITS = 1 << 26
+#: Occurrences that a task hands on at a time.
+PORTION = 1 << 16
 PROJECTED = "lang string, prefix binary, rests array<binary>, times array<long>"
 CUTTER = Cutter(b" \t", b".,;:!?\n\x0b\x0c\r")
 
@@ -127,6 +129,14 @@ def by_prefix(lang: pa.Array, prefix: pa.Array, rest: pa.Array, n: np.ndarray) -
     return pa.RecordBatch.from_arrays([lang.take(head), prefix.take(head), *lists], names=["lang", "prefix", "rests", "times"])
 
 
+def portions(rows: pa.RecordBatch, most: int = PORTION) -> Iterator[pa.RecordBatch]:
+    """``rows`` of ``by_prefix`` in slices of about ``most`` occurrences; a prefix stays whole.  What a task hands on lies in the executor's memory too."""
+    held = np.cumsum(pc.list_value_length(rows["rests"]).to_numpy()) // most
+    bounds = [0, *(np.flatnonzero(np.diff(held)) + 1).tolist(), len(rows)]
+    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+        yield rows.slice(a, b - a)
+
+
 def next_word(rest: pa.Array) -> tuple[pa.Array, pa.Array]:
     """The first word of each run, and what is left of it ('' if nothing)."""
     both = pc.split_pattern(rest, " ", max_splits=1)
@@ -147,7 +157,7 @@ def project(frequent, common) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
         def packed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for part in parts:
                 if len(part):
-                    yield by_prefix(part["lang"], *next_word(part["run"]), part["n"].to_numpy())
+                    yield from portions(by_prefix(part["lang"], *next_word(part["run"]), part["n"].to_numpy()))
 
         for batch in batches:
             b = Batch(batch)
@@ -179,7 +189,7 @@ def deepen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if len(on):
             at = pa.array(parent[on])
             word, rest = next_word(flat.take(pa.array(on)))
-            yield by_prefix(batch["lang"].take(at), pc.binary_join_element_wise(batch["prefix"].take(at), word, pa.scalar(b" ")), rest, n[on])
+            yield from portions(by_prefix(batch["lang"].take(at), pc.binary_join_element_wise(batch["prefix"].take(at), word, pa.scalar(b" ")), rest, n[on]))
 
 
 class Projection:
@@ -262,7 +272,7 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "phrases")
-    small_batches(spark, 8 << 20)
+    small_batches(spark, 4 << 20)
     texts = docs.select(lang_of(), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
     counted = texts.mapInArrow(tidy(count_words), "lang string, word binary, n long").groupBy("lang", F.col("word").cast("string").alias("word")).agg(F.sum("n").alias("n"))
     counted = scratch.keep(counted, "words")
@@ -271,7 +281,9 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
     pair_counts = texts.mapInArrow(tidy(count_pairs(known)), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
     common = spark.sparkContext.broadcast(bit_filter(pair_counts.where(F.col("n") >= least).select("pair")))
     projected = texts.mapInArrow(tidy(project(known, common)), PROJECTED)
-    phrases = scratch.keep(frequent_phrases(scratch.keep(projected, "projections"), scratch, least), "phrases")
+    projected = scratch.keep(projected, "projections")
+    small_batches(spark, 8 << 20)  # of rows by prefix: the more a batch holds, the fewer rows longer prefixes make
+    phrases = scratch.keep(frequent_phrases(projected, scratch, least), "phrases")
 
     words = F.split("phrase", " ")
     size = F.size(words)

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 import xxhash
 from brute import DOCS, ODD
@@ -200,3 +201,12 @@ def test_extra_columns_change_nothing(spark, make):
     df = frame(spark, rows)
     more = df.selectExpr("*", "'z' AS term", "1 AS n", "'q' AS fp", "2 AS row", "3 AS word", "4 AS w0", "5 AS _salt", "6 AS lang_", "7 AS first")
     assert listed(make(df)) == listed(make(more))
+
+
+def test_a_task_hands_on_portions_of_its_projections():
+    n = 4 * phrases.PORTION
+    prefixes = pa.array([b"p%d" % (k % 1000) for k in range(n)])
+    rows = phrases.by_prefix(pa.array(["en"] * n), prefixes, pa.array([b"r%d" % k for k in range(n)]), np.ones(n, np.int64))
+    parts = list(phrases.portions(rows))
+    assert pa.Table.from_batches(parts).to_pydict() == pa.Table.from_batches([rows]).to_pydict()
+    assert len(parts) >= 4 and max(len(part["rests"].flatten()) for part in parts) <= phrases.PORTION + n // 1000
