@@ -29,6 +29,12 @@ def reference(path: str) -> sentencepiece.SentencePieceProcessor:
     return sentencepiece.SentencePieceProcessor(model_file=path)
 
 
+def reads_back(text: str, ids: list[int], surface: list[bytes], prefixed: bool) -> bool:
+    """True where the joined bytes of the pieces are the text's, which the decoder then gives too: runs of byte pieces lie between whole characters."""
+    joined = b"".join(map(surface.__getitem__, ids))
+    return (joined.removeprefix(b" ") if prefixed else joined) == text.encode()
+
+
 def encode(docs: DataFrame, model_path: str | None = None, parity_one_in: int = PARITY_ONE_IN, keep_ids: bool = True) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, round_trip, parity, and ids if ``keep_ids``, for every row.
 
@@ -37,25 +43,31 @@ def encode(docs: DataFrame, model_path: str | None = None, parity_one_in: int =
     normaliser rewrites it, and where it holds the marker itself, which reads as a space).  ``parity``: the backend's ids equal the sentencepiece library's, null where not
     compared; all texts are compared unless ``parity_one_in`` says otherwise, which chooses by content, not by place.  Where ids differ, those of the library are returned.  Null and empty texts have no
     tokens and are compared like others; repeated rows are encoded each; other columns are
-    ignored; an empty table gives no rows.  Each task encodes slices of about 1 MB on all of the library's threads.
+    ignored; an empty table gives no rows.  Each task takes slices of about 1 MB.  Where the model's words are independent the backend encodes each distinct
+    word once and a text is put together from its words; the library always encodes the whole text.  A text whose pieces' bytes, joined, are its own reads back; of any other the backend's decoder tells.
     """
     path = model_path or public_tokenizers.path(MODEL)
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok, ref = piece_model.load(path), reference(path)
+        tok, ref, model = piece_model.load(path), reference(path), piece_model.parsed(path)
+        pattern, surface = model.words(), model.surfaces()
+        words = piece_model.WordIds(path, pattern) if pattern else None
         for batch in batches:
             texts = [t or "" for t in batch["text"].to_pylist()]
             rows = []
             for part in by_bytes(texts):
-                found = [e.ids for e in tok.encode_batch_fast(part, add_special_tokens=False)]
+                found = [x.tolist() for x in words.of(part)] if words is not None else [e.ids for e in tok.encode_batch_fast(part, add_special_tokens=False)]
                 chosen = [k for k, t in enumerate(part) if zlib.crc32(t.encode()) % parity_one_in == 0]
                 same = dict(zip(chosen, ref.encode([part[k] for k in chosen], num_threads=1), strict=True))
                 parity = [same[k] == ids if k in same else None for k, ids in enumerate(found)]
                 found = [same[k] if equal is False else ids for k, (ids, equal) in enumerate(zip(found, parity, strict=True))]
-                back = tok.decode_batch(found, skip_special_tokens=False)
-                for text, ids, equal, again in zip(part, found, parity, back, strict=True):
-                    rows.append((len(ids), hashlib.sha256(np.array(ids, "<i4").tobytes()).hexdigest(), again == text, equal, ids))
+                back = [reads_back(text, ids, surface, model.dummy_prefix) for text, ids in zip(part, found, strict=True)]
+                open_ones = [k for k, equal in enumerate(back) if not equal]
+                for k, again in zip(open_ones, tok.decode_batch([found[k] for k in open_ones], skip_special_tokens=False), strict=True):
+                    back[k] = again == part[k]
+                for ids, equal, whole in zip(found, parity, back, strict=True):
+                    rows.append((len(ids), hashlib.sha256(np.array(ids, "<i4").tobytes()).hexdigest(), whole, equal, ids))
             columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(KINDS[: 4 + keep_ids])]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], *columns], names=["doc_id", *NAMES[: 4 + keep_ids]])
 
