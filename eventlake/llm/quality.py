@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -45,18 +46,31 @@ def shape(token: str) -> str:
     """The form of a token: how it is written and how long it is, or the mark that it is."""
     if not (token[0].isalnum() or token[0] == "_"):
         return token[:2]
-    cases = (token.islower(), token[:1].isupper() and not token[1:].upper() == token[1:] or len(token) == 1 and token.isupper(), token.isupper(), token.isdigit(), any(c.isdigit() for c in token))
-    kind = cases.index(True) if True in cases else len(cases)
+    if token.islower():  # most are; no other case is looked at then
+        kind = 0
+    elif token[0].isupper() and token[1:].upper() != token[1:] or len(token) == 1 and token.isupper():
+        kind = 1
+    elif token.isupper():
+        kind = 2
+    elif token.isdigit():
+        kind = 3
+    else:
+        kind = 4 if any(c.isdigit() for c in token) else 5
     return f"{kind}{'' if token.isascii() else '+'}:{min(len(token), 16)}"
 
 
+@lru_cache(maxsize=1 << 16)
+def shape_row(form: str) -> int:
+    return xxhash.xxh64_intdigest(form) % (FORMS // 4)
+
+
 class TokenRows(WordHashes):
     """token -> the row of its word, and its shape above 32 bits."""
 
     def __missing__(self, token: str) -> int:
         if len(self) >= self.LIMIT:
             self.clear()
-        value = self[token] = xxhash.xxh64_intdigest(token.lower()) % WORDS | (xxhash.xxh64_intdigest(shape(token)) % (FORMS // 4)) << 32
+        value = self[token] = xxhash.xxh64_intdigest(token.lower()) % WORDS | shape_row(shape(token)) << 32
         return value
 
 
@@ -84,19 +98,24 @@ def index_vectors() -> tuple[np.ndarray, np.ndarray]:
 def add_contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """(slab, sums) of the context vectors, and of token counts in the last column, over a task's texts; words have words as context, forms forms."""
     known, (place, sign) = TokenRows(), index_vectors()
-    total = np.zeros((ROWS, DIMS + 1))
+    places, signs = [np.ascontiguousarray(x[:WORDS].T) for x in (place, sign)]
+    total, pairs = np.zeros((ROWS, DIMS + 1)), np.zeros(FORMS * FORMS)
     for batch in batches:
-        *streams, ends = tokens(list(batch["text"]), known)
+        words, forms, ends = tokens(list(batch["text"]), known)
         text = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
-        for rows, first, width in zip(streams, (0, WORDS), (WORDS, FORMS), strict=True):
-            total[:, DIMS] += np.bincount(rows, minlength=ROWS)
-            near = [(rows[:-r][same], rows[r:][same]) for r in range(1, REACH + 1) for same in (text[r:] == text[:-r],)]
-            of = np.concatenate([x for left, right in near for x in (left, right)])
-            by = np.concatenate([x for left, right in near for x in (right, left)])
-            start = (of - first) * DIMS
-            for k in range(SPARSE):  # the table is long, so all pairs of a batch are summed up at once
-                sums = np.bincount(start + place[by, k], weights=sign[by, k], minlength=width * DIMS)
-                total[first : first + width, :DIMS] += sums.reshape(width, DIMS)
+        total[:, DIMS] += np.bincount(words, minlength=ROWS) + np.bincount(forms, minlength=ROWS)
+        near = [text[r:] == text[:-r] for r in range(1, REACH + 1)]
+        for r, same in enumerate(near, 1):  # forms are few: pairs are counted, and meet the index vectors at the end
+            pairs += np.bincount(((forms[:-r] - WORDS) * FORMS + forms[r:] - WORDS)[same], minlength=FORMS * FORMS)
+        left, right = [np.concatenate(x) for x in zip(*[(words[:-r][same], words[r:][same]) for r, same in enumerate(near, 1)], strict=True)]
+        of, by = np.concatenate([left, right]), np.concatenate([right, left])
+        start = of * DIMS
+        for k in range(SPARSE):  # the table is long, so all pairs of a batch are summed up at once
+            total[:WORDS, :DIMS] += np.bincount(start + places[k][by], weights=signs[k][by], minlength=WORDS * DIMS).reshape(WORDS, DIMS)
+    index = np.zeros((FORMS, DIMS))
+    np.add.at(index, (np.arange(FORMS)[:, None], place[WORDS:]), sign[WORDS:])
+    pairs = pairs.reshape(FORMS, FORMS)
+    total[WORDS:, :DIMS] = (pairs + pairs.T) @ index  # whole numbers, so exact in any order
     slabs = [total[k : k + SLAB] for k in range(0, ROWS, SLAB)]
     yield pd.DataFrame({"slab": range(len(slabs)), "sums": [x.astype("<f8").tobytes() for x in slabs]})
 
